@@ -1,8 +1,9 @@
-from .intervals import INTERVALS, bar_start
-from .symbols import canonical_symbol, exchange_of, file_safe, ticker_of
+from .intervals import DAY_MICROS, INTERVALS, bar_start, epoch_micros
+from .symbols import canonical_symbol, exchange_of, file_safe, symbol_list, ticker_of
 from .values import finite, missing, number, number_or_zero, without_nan
 
 __all__ = [
-    "INTERVALS", "bar_start", "canonical_symbol", "exchange_of", "file_safe", "finite", "missing",
-    "number", "number_or_zero", "ticker_of", "without_nan",
+    "DAY_MICROS", "INTERVALS", "bar_start", "canonical_symbol", "epoch_micros", "exchange_of",
+    "file_safe", "finite", "missing", "number", "number_or_zero", "symbol_list", "ticker_of",
+    "without_nan",
 ]

@@ -2,6 +2,9 @@
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+DAY_MICROS = 86_400_000_000
 
 # Interval codes and the bar width each stands for.
 INTERVALS = {
@@ -34,3 +37,16 @@ def bar_start(ts, interval: str, data_type: str) -> Column:
     if width in ("week", "month"):
         return F.trunc(column.cast("date"), width).cast(data_type)
     return F.window(column, width)["start"].cast(data_type)
+
+
+def epoch_micros(name: str, data_type: T.DataType) -> Column:
+    """Microseconds since 1970, never through the session time zone for zone-less types."""
+    c = F.col(name)
+    if isinstance(data_type, T.TimestampType):
+        return F.unix_micros(c)
+    days = F.unix_date(c.cast("date")) * F.lit(DAY_MICROS)
+    if isinstance(data_type, T.DateType):
+        return days
+    seconds = (F.hour(c) * 60 + F.minute(c)).cast("bigint") * 60
+    within = F.date_part(F.lit("SECOND"), c) * 1_000_000
+    return days + seconds * 1_000_000 + within.cast("bigint")

@@ -39,3 +39,8 @@ def ticker_of(symbol) -> Column:
 def file_safe(symbol) -> Column:
     """The symbol without the colon, for use in file and directory names."""
     return F.translate(_col(symbol), ":", "")
+
+
+def symbol_list(text) -> Column:
+    """The symbols of a comma-separated list such as `CRYPTO:BTCUSD, CRYPTO:BTCEUR`."""
+    return F.split(_col(text), ", ")

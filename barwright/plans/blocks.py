@@ -6,10 +6,11 @@ back 199 rows), so a long series can be cut into consecutive blocks; each block
 rows before or after it that its first or last windows reach, and the borrowed rows are dropped
 afterwards. The result equals the uncut window row for row.
 
-Blocks follow the sort key: a series holding more than `target_rows` rows is cut by year, a year
-still holding more by day, then hour, minute, second, millisecond, microsecond, and finally by the
-bits of whole-number tie-break columns. Only oversized parents are cut, and a cut has at most 1000
-children, so borrowed rows stay below 1000 * reach / target_rows of the data.
+Blocks follow the sort key: a series holding more than `target_rows` rows is cut into spans of 360
+days, a span still holding more into 15 days, then days, hours, minutes and so on down to single
+microseconds, and finally by the bits of whole-number tie-break columns. Only oversized parents are
+cut, and below the first level a cut has at most 256 children, so borrowed rows stay below
+256 * reach / target_rows of the data (2.6 % for 200 rows of reach).
 """
 
 from dataclasses import dataclass
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import DAY_MICROS, epoch_micros
 from .durable import cut
 
 BLOCK, OWN = "_block", "_own"
@@ -26,38 +28,25 @@ TARGET_ROWS = 2_000_000
 # Longest list of cut nodes that is sent to every executor; a longer one is joined by shuffle.
 BROADCAST_NODES = 200_000
 
-_DAY_MICROS = 86_400_000_000
 # Each width is a whole multiple of the next, so blocks nest.
 _WIDTHS_MICROS = (
-    365 * _DAY_MICROS, _DAY_MICROS, 3_600_000_000, 60_000_000, 1_000_000, 1_000, 1,
+    360 * DAY_MICROS, 15 * DAY_MICROS, DAY_MICROS, 3_600_000_000, 60_000_000, 1_000_000,
+    20_000, 1_000, 20, 1,
 )
 _ID_SHIFTS = (56, 48, 40, 32, 24, 16, 8, 0)
-# How many rungs one measuring pass counts: the year to the hour, then two at a time.
+# How many rungs one measuring pass counts: down to the day, then two at a time.
 _FIRST_PASS, _LATER_PASS = 3, 2
 
 _WHOLE = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
 
 
-def _micros(name: str, data_type: T.DataType) -> Column:
-    """Microseconds since 1970, never through the session time zone for zone-less types."""
-    c = F.col(name)
-    if isinstance(data_type, T.TimestampType):
-        return F.unix_micros(c)
-    days = F.unix_date(c.cast("date")) * F.lit(_DAY_MICROS)
-    if isinstance(data_type, T.DateType):
-        return days
-    seconds = (F.hour(c) * 60 + F.minute(c)).cast("bigint") * 60
-    within = F.date_part(F.lit("SECOND"), c) * 1_000_000
-    return days + seconds * 1_000_000 + within.cast("bigint")
-
-
 def _rungs(df: DataFrame, order) -> list[Column]:
     """Ever finer groupings of rows, each following the sort key."""
     rungs = []
     for name in order:
         data_type = df.schema[name].dataType
         if isinstance(data_type, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-            micros = _micros(name, data_type)
+            micros = epoch_micros(name, data_type)
             rungs += [_floor_div(micros, w) for w in _WIDTHS_MICROS]
         elif isinstance(data_type, _WHOLE):
             wide = F.col(name).cast("bigint")

@@ -1,0 +1,38 @@
+"""The batch jobs from text files to the gold table. Each function runs Spark jobs."""
+
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+from ..operators.conform import conform, dated, undated
+from ..operators.fill import fill_gaps
+from ..operators.indicators import gold
+from ..schema import bar_order
+from ..sinks import write_partitioned
+from ..sources import read_bars_csv, read_bars_parquet, typed_bars
+from .blocks import TARGET_ROWS, measure_blocks
+
+
+def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, quarantine: str | None = None,
+                     *, sep=",", target_rows=TARGET_ROWS) -> None:
+    """Reads the CSV tree, fills gaps per coin and symbol across year ends, and writes Parquet
+    by coin and year. Rows without a readable timestamp go to `quarantine`, if named."""
+    raw = conform(typed_bars(read_bars_csv(spark, bronze, sep=sep)))
+    if quarantine:
+        undated(raw).write.mode("overwrite").parquet(quarantine)
+    bars = dated(raw)
+    by, order = ("coin", "symbol"), bar_order(bars.columns)
+    blocks = measure_blocks(bars, by, order, target_rows)
+    columns = ("open", "high", "low", "close", "volume")
+    write_partitioned(fill_gaps(bars, columns, by=by, order=order, blocks=blocks), silver)
+
+
+def silver_to_gold(spark: SparkSession, silver: str, gold_path: str, *, coins=None, years=None,
+                   target_rows=TARGET_ROWS) -> None:
+    """Adds the indicators to every symbol and year in one job and replaces the partitions
+    written. The windows leave each coin and year together, so no further shuffle follows."""
+    bars = conform(read_bars_parquet(spark, silver, coins=coins, years=years),
+                   symbol=F.col("coin"))
+    by, order = ("coin", "symbol", "year"), bar_order(bars.columns)
+    blocks = measure_blocks(bars, by, order, target_rows)
+    write_partitioned(gold(bars, by=by, order=order, blocks=blocks), gold_path,
+                      replace="present", gather=False)
