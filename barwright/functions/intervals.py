@@ -44,9 +44,7 @@ def epoch_micros(name: str, data_type: T.DataType) -> Column:
     c = F.col(name)
     if isinstance(data_type, T.TimestampType):
         return F.unix_micros(c)
-    days = F.unix_date(c.cast("date")) * F.lit(DAY_MICROS)
     if isinstance(data_type, T.DateType):
-        return days
-    seconds = (F.hour(c) * 60 + F.minute(c)).cast("bigint") * 60
-    within = F.date_part(F.lit("SECOND"), c) * 1_000_000
-    return days + seconds * 1_000_000 + within.cast("bigint")
+        return F.unix_date(c) * F.lit(DAY_MICROS)
+    since = c - F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
+    return F.call_function("div", since, F.expr("INTERVAL '0.000001' SECOND"))

@@ -36,19 +36,17 @@ def bars(df: DataFrame, interval: str, *, price="price", volume=None, ts="ts", b
     more than one with few. `order` picks the first and last tick; it defaults to `ts` and may
     name further columns to break ties.
     """
-    rank = sort_rank(df, order or [ts])
-    traded = F.count("*") if volume is None else F.sum(volume)
     start = bar_start(ts, interval, df.schema[ts].dataType.simpleString())
-    return (
-        df.where(F.col(ts).isNotNull())
-        .groupBy(*by, start.alias("datetime"))
-        .agg(
-            F.min_by(price, rank).alias("open"),
-            F.max(price).alias("high"),
-            F.min(price).alias("low"),
-            F.max_by(price, rank).alias("close"),
-            traded.cast("double").alias("volume"),
-        )
+    traded = F.count("*") if volume is None else F.sum(volume)
+    kept = dict.fromkeys([*by, price, *([] if volume is None else [volume])])
+    ticks = df.where(F.col(ts).isNotNull()).select(
+        *kept, start.alias("_start"), sort_rank(df, order or [ts]).alias("_rank"))
+    return ticks.groupBy(*by, F.col("_start").alias("datetime")).agg(
+        F.min_by(price, "_rank").alias("open"),
+        F.max(price).alias("high"),
+        F.min(price).alias("low"),
+        F.max_by(price, "_rank").alias("close"),
+        traded.cast("double").alias("volume"),
     )
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from ..functions import DAY_MICROS, epoch_micros
 from .durable import cut
 
-BLOCK, OWN = "_block", "_own"
+OWN = "_own"
 TARGET_ROWS = 2_000_000
 # Longest list of cut nodes that is sent to every executor; a longer one is joined by shuffle.
 BROADCAST_NODES = 200_000
@@ -98,6 +98,11 @@ class Blocks:
     def cuts(self) -> bool:
         return bool(self.nodes)
 
+    @property
+    def columns(self) -> list[str]:
+        """Names of the columns that together identify a block within its series."""
+        return [f"_b{d}" for d in range(len(self.nodes))]
+
     def attach(self, df: DataFrame) -> DataFrame:
         """Adds the block a row belongs to; 0 stands for a level that is not cut."""
         depth = len(self.nodes)
@@ -107,10 +112,10 @@ class Blocks:
             flagged = self.nodes[d].select("*", F.lit(True).alias(f"_cut{d}"))
             out = _join_nodes(out, flagged, self.sizes[d], [*self.by, *_names(d)], "left")
         parts = [
-            F.when(F.col(f"_cut{d}"), F.col(name)).otherwise(F.lit(0)).alias(f"b{d}")
-            for d, name in enumerate(_names(depth))
+            F.when(F.col(f"_cut{d}"), F.col(name)).otherwise(F.lit(0)).alias(block)
+            for d, (name, block) in enumerate(zip(_names(depth), self.columns))
         ]
-        return out.select(*df.columns, F.struct(*parts).alias(BLOCK), F.col("_cut0").alias("_cut"))
+        return out.select(*df.columns, *parts, F.col("_cut0").alias("_cut"))
 
 
 def measure_blocks(df: DataFrame, by, order, target_rows: int = TARGET_ROWS) -> Blocks:
@@ -137,7 +142,7 @@ def measure_blocks(df: DataFrame, by, order, target_rows: int = TARGET_ROWS) ->
             keys = [*by, *_names(depth)]
             found = counts.groupBy(*keys).agg(F.sum("count").alias("n"))
             # A node is cut only inside a cut parent, so lists of deeper levels stay short.
-            large = found.where(F.col("n") > target_rows).drop("n")
+            large = cut(found.where(F.col("n") > target_rows).drop("n"))
             nodes.append(large)
             sizes.append(large.count())
         done, stride = upto, _LATER_PASS
@@ -147,28 +152,29 @@ def measure_blocks(df: DataFrame, by, order, target_rows: int = TARGET_ROWS) ->
     return Blocks(by, order, tuple(nodes), tuple(sizes))
 
 
-def _borrowed(keyed: DataFrame, by, order, reach: int, later: bool) -> DataFrame:
+def _borrowed(keyed: DataFrame, by, block, order, reach: int, later: bool) -> DataFrame:
     """Copies of the rows within `reach` rows before (or, if `later`, after) each block, keyed by
     the block that borrows them.
 
-    Keeping `reach` rows per block needs only a partial limit before the shuffle. From there on a
-    row stands for its whole block: blocks shorter than `reach` pass several neighbours' rows on.
+    Only `reach` rows per block are shuffled, thanks to the ranking limit before it. A block may
+    hold fewer than `reach` rows, so a borrower can draw on several blocks; how many follows from
+    the block lengths, capped at `reach`.
     """
-    keys = [*by, BLOCK]
+    keys = [*by, *block]
     towards = [F.col(c).asc() if later else F.col(c).desc() for c in order]
     near = Window.partitionBy(*keys).orderBy(*towards)
     edge = (
         keyed.select("*", F.row_number().over(near).alias("_q")).where(F.col("_q") <= reach)
     )
     # Blocks run towards their borrowers: ascending when lending to later blocks.
-    along = F.col(BLOCK).desc() if later else F.col(BLOCK).asc()
-    line = Window.partitionBy(*by).orderBy(along)
+    along = [F.col(c).desc() if later else F.col(c).asc() for c in block]
+    line = Window.partitionBy(*by).orderBy(*along)
     ends = (
-        edge.groupBy(*keys).agg(F.count("*").alias("_n"))
+        keyed.groupBy(*keys).agg(F.least(F.count("*"), F.lit(reach)).alias("_n"))
         .select(
             *keys,
             F.sum("_n").over(line.rowsBetween(Window.unboundedPreceding, 0)).alias("_end"),
-            F.lead(BLOCK).over(line).alias("_to"),
+            F.lead(F.struct(*block)).over(line).alias("_to"),
         )
     )
     # Borrowers: the next block, and those after it while fewer than `reach` rows lie between.
@@ -180,12 +186,11 @@ def _borrowed(keyed: DataFrame, by, order, reach: int, later: bool) -> DataFrame
     )
     return (
         _join(edge, lenders, keys).select("*", F.explode("_borrowers").alias("_b"))
-        # _end - _q + 1 is the row's place in its series, _start that of the last row before
-        # the borrowing block.
+        # In capped lengths, _end - _q + 1 is the row's place in its series and _start that of
+        # the last row before the borrowing block.
         .where(F.col("_b._to").isNotNull()
                & (F.col("_b._start") - F.col("_end") + F.col("_q") <= reach))
-        .select(*[F.col("_b._to").alias(BLOCK) if c == BLOCK else F.col(c)
-                  for c in keyed.columns])
+        .select(*[F.col(f"_b._to.{c}") if c in block else F.col(c) for c in keyed.columns])
     )
 
 
@@ -226,12 +231,12 @@ def as_series(df: DataFrame, by, order, *, reads, back=0, ahead=0, blocks=None)
     keyed = blocks.attach(df)
     frame = keyed.drop("_cut").withColumn(OWN, F.lit(True))
     kept = list(dict.fromkeys([*by, *order, *reads]))
-    lending = keyed.where(F.col("_cut")).select(*kept, BLOCK)
+    lending = keyed.where(F.col("_cut")).select(*kept, *blocks.columns)
     for reach, later in ((back, False), (ahead, True)):
         if reach:
-            lent = _borrowed(lending, by, order, reach, later).withColumn(OWN, F.lit(False))
+            lent = _borrowed(lending, by, blocks.columns, order, reach, later).withColumn(OWN, F.lit(False))
             frame = frame.unionByName(lent, allowMissingColumns=True)
-    return Series(frame, (*by, BLOCK), order, True)
+    return Series(frame, (*by, *blocks.columns), order, True)
 
 
 def numbered(df: DataFrame, by, order, name="row_num", blocks=None) -> DataFrame:
@@ -241,8 +246,8 @@ def numbered(df: DataFrame, by, order, name="row_num", blocks=None) -> DataFrame
         spec = Window.partitionBy(*by).orderBy(*order)
         return df.select("*", F.row_number().over(spec).cast("bigint").alias(name))
     keyed = blocks.attach(df).drop("_cut")
-    keys = [*by, BLOCK]
-    before = Window.partitionBy(*by).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    keys = [*by, *blocks.columns]
+    before = Window.partitionBy(*by).orderBy(*blocks.columns).rowsBetween(Window.unboundedPreceding, -1)
     starts = keyed.groupBy(*keys).agg(F.count("*").alias("_n")).select(
         *keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     local = keyed.select(
