@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions import finite, without_nan
 from ..plans.blocks import Blocks, as_series
+from ..schema import MEASURES
 from .conform import floating_columns, numeric_columns
 
 # Rows on either side of a gap that its mean looks at.
@@ -19,8 +20,10 @@ def fill_gaps(df: DataFrame, columns=None, *, by=("symbol",), order=("datetime",
     Numeric columns become doubles, all others are unchanged. Filled values feed no further
     fill. Ties in `order` should be broken by a unique column for a repeatable result.
     """
-    reserved = {*by, *order}
-    columns = [c for c in (columns or numeric_columns(df)) if c not in reserved]
+    if columns is None:
+        # Measures may break ties and are filled all the same; other sort columns are left alone.
+        sorting = {*by, *order} - set(MEASURES)
+        columns = [c for c in numeric_columns(df) if c not in sorting]
     floating = floating_columns(df)
     series = as_series(df, by, order, reads=columns, back=side, ahead=side, blocks=blocks)
     near = series.rows(-side, side)

@@ -137,14 +137,19 @@ def measure_blocks(df: DataFrame, by, order, target_rows: int = TARGET_ROWS) ->
     while done < len(rungs) and sizes[-1]:
         upto = min(done + stride, len(rungs))
         rows = _join_nodes(narrow, nodes[-1], sizes[-1], [*by, *_names(done)], "inner")
-        counts = cut(rows.groupBy(*by, *_names(upto)).count())
-        for depth in range(done + 1, upto + 1):
-            keys = [*by, *_names(depth)]
-            found = counts.groupBy(*keys).agg(F.sum("count").alias("n"))
-            # A node is cut only inside a cut parent, so lists of deeper levels stay short.
-            large = cut(found.where(F.col("n") > target_rows).drop("n"))
-            nodes.append(large)
-            sizes.append(large.count())
+        counts = rows.groupBy(*by, *_names(upto)).count()
+        # Every count adds to its part at each depth; a part of depth d is named by d rungs.
+        depth = F.explode(F.sequence(F.lit(done + 1), F.lit(upto)))
+        parts = counts.select("*", depth.alias("_depth")).groupBy(
+            *by, "_depth",
+            *[F.when(F.col("_depth") > i, F.col(n)).alias(n) for i, n in enumerate(_names(upto))]
+        ).agg(F.sum("count").alias("n"))
+        # Only parts of too long parts can be too long, so the lists stay short.
+        large = cut(parts.where(F.col("n") > target_rows).drop("n"))
+        found = {r["_depth"]: r["count"] for r in large.groupBy("_depth").count().collect()}
+        for d in range(done + 1, upto + 1):
+            nodes.append(large.where(F.col("_depth") == d).select(*by, *_names(d)))
+            sizes.append(found.get(d, 0))
         done, stride = upto, _LATER_PASS
     # The deepest list is empty or has no finer rung left: it cuts nothing.
     while nodes and (sizes[-1] == 0 or len(nodes) > len(rungs)):
