@@ -14,7 +14,7 @@ cut, and below the first level a cut has at most 256 children, so borrowed rows
 """
 
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -199,7 +199,7 @@ def _borrowed(keyed: DataFrame, by, block, order, reach: int, later: bool) -> Da
     )
 
 
-@dataclass(frozen=True)
+@dataclass
 class Series:
     """A frame ready for windows: use `spec` for the order and `rows(a, b)` for row frames."""
 
@@ -208,7 +208,7 @@ class Series:
     order: tuple
     cuts: bool
 
-    @property
+    @cached_property
     def spec(self) -> WindowSpec:
         return Window.partitionBy(*self.keys).orderBy(*self.order)
 

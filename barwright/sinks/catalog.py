@@ -35,15 +35,16 @@ def register_tables(spark: SparkSession, path: str, database: str,
             location = folder.replace("\\", "\\\\").replace("'", "\\'")
             spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{location}'")
         else:
-            found = spark.read.option("mergeSchema", True).parquet(folder).schema
-            present = {c.lower() for c in spark.table(table).columns}
-            new = [f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in found.fields
-                   if f.name.lower() not in present]
-            if new:
-                spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(new)})")
             spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('deprecated')")
-        if spark.catalog.listColumns(f"{database}.{name}") and any(
-                c.isPartition for c in spark.catalog.listColumns(f"{database}.{name}")):
+        # Files of one folder may differ; creation looks at one of them only.
+        found = spark.read.option("mergeSchema", True).parquet(folder).schema
+        columns = spark.catalog.listColumns(f"{database}.{name}")
+        present = {c.name.lower() for c in columns}
+        new = [f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in found.fields
+               if f.name.lower() not in present]
+        if new:
+            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(new)})")
+        if any(c.isPartition for c in columns):
             spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
         spark.catalog.refreshTable(f"{database}.{name}")
         tables.append(name)
