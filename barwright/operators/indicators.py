@@ -185,7 +185,7 @@ def add_indicators(df: DataFrame, value="close", *, sma=(), ema=(), rsi=(), macd
     long for one task. `crossings(row_before)` may return further named columns; it is given a
     function that yields an indicator's value on the previous row.
     """
-    order = tuple(order or bar_order(df.columns))
+    order = tuple(order or (blocks.order if blocks else bar_order(df.columns)))
     reach = _reach(sma, ema, rsi, macd) + (1 if crossings else 0)
     series = as_series(df, by, order, reads=[value], back=reach, blocks=blocks)
     stages = _Stages(series)

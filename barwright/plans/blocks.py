@@ -67,18 +67,20 @@ def _names(depth: int) -> list[str]:
     return [f"_r{i}" for i in range(depth)]
 
 
-def _join(left: DataFrame, right: DataFrame, keys, how="inner") -> DataFrame:
-    """Joins on `keys`, NULL matching NULL, and keeps the left side's keys."""
-    names = {k: f"_on_{i}" for i, k in enumerate(keys)}
+def _join(left: DataFrame, right: DataFrame, by, exact, how="inner") -> DataFrame:
+    """Joins on `by`, NULL matching NULL, and on the never missing `exact` columns. Keeps the left
+    side's keys."""
+    names = {k: f"_on_{i}" for i, k in enumerate([*by, *exact])}
     right = right.select(*[F.col(k).alias(n) for k, n in names.items()],
                          *[c for c in right.columns if c not in names])
-    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()))
-    return left.join(right, same, how).drop(*names.values())
+    same = [F.col(k).eqNullSafe(F.col(names[k])) for k in by]
+    same += [F.col(k) == F.col(names[k]) for k in exact]
+    return left.join(right, reduce(lambda a, b: a & b, same), how).drop(*names.values())
 
 
-def _join_nodes(df: DataFrame, nodes: DataFrame, size: int, keys, how: str) -> DataFrame:
+def _join_nodes(df: DataFrame, nodes: DataFrame, size: int, by, exact, how: str) -> DataFrame:
     """Joins a list of cut nodes, sent to every executor only if its counted length is small."""
-    return _join(df, F.broadcast(nodes) if size <= BROADCAST_NODES else nodes, keys, how)
+    return _join(df, F.broadcast(nodes) if size <= BROADCAST_NODES else nodes, by, exact, how)
 
 
 @dataclass(frozen=True)
@@ -110,7 +112,7 @@ class Blocks:
         out = df.select("*", *[r.alias(n) for r, n in zip(rungs, _names(depth))])
         for d in range(depth):
             flagged = self.nodes[d].select("*", F.lit(True).alias(f"_cut{d}"))
-            out = _join_nodes(out, flagged, self.sizes[d], [*self.by, *_names(d)], "left")
+            out = _join_nodes(out, flagged, self.sizes[d], self.by, _names(d), "left")
         parts = [
             F.when(F.col(f"_cut{d}"), F.col(name)).otherwise(F.lit(0)).alias(block)
             for d, (name, block) in enumerate(zip(_names(depth), self.columns))
@@ -136,7 +138,7 @@ def measure_blocks(df: DataFrame, by, order, target_rows: int = TARGET_ROWS) ->
     done, stride = 0, _FIRST_PASS
     while done < len(rungs) and sizes[-1]:
         upto = min(done + stride, len(rungs))
-        rows = _join_nodes(narrow, nodes[-1], sizes[-1], [*by, *_names(done)], "inner")
+        rows = _join_nodes(narrow, nodes[-1], sizes[-1], by, _names(done), "inner")
         counts = rows.groupBy(*by, *_names(upto)).count()
         # Every count adds to its part at each depth; a part of depth d is named by d rungs.
         depth = F.explode(F.sequence(F.lit(done + 1), F.lit(upto)))
@@ -190,7 +192,7 @@ def _borrowed(keyed: DataFrame, by, block, order, reach: int, later: bool) -> Da
         .alias("_borrowers"),
     )
     return (
-        _join(edge, lenders, keys).select("*", F.explode("_borrowers").alias("_b"))
+        _join(edge, lenders, by, block).select("*", F.explode("_borrowers").alias("_b"))
         # In capped lengths, _end - _q + 1 is the row's place in its series and _start that of
         # the last row before the borrowing block.
         .where(F.col("_b._to").isNotNull()
@@ -245,18 +247,24 @@ def as_series(df: DataFrame, by, order, *, reads, back=0, ahead=0, blocks=None)
 
 
 def numbered(df: DataFrame, by, order, name="row_num", blocks=None) -> DataFrame:
-    """Adds the row number within each series; cut series count on from block to block."""
+    """Adds the row number within each series; cut series count on from block to block.
+
+    Each block gets one marker row ahead of its own, which carries the rows before the block, so
+    that the table is shuffled for the numbering and not again for a join.
+    """
     by, order = tuple(by), tuple(order)
     if blocks is None or not blocks.cuts:
         spec = Window.partitionBy(*by).orderBy(*order)
         return df.select("*", F.row_number().over(spec).cast("bigint").alias(name))
     keyed = blocks.attach(df).drop("_cut")
     keys = [*by, *blocks.columns]
-    before = Window.partitionBy(*by).orderBy(*blocks.columns).rowsBetween(Window.unboundedPreceding, -1)
-    starts = keyed.groupBy(*keys).agg(F.count("*").alias("_n")).select(
+    before = Window.partitionBy(*by).orderBy(*blocks.columns).rowsBetween(
+        Window.unboundedPreceding, -1)
+    markers = keyed.groupBy(*keys).agg(F.count("*").alias("_n")).select(
         *keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    local = keyed.select(
-        "*", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).alias("_q"))
-    return _join(local, starts, keys).select(
-        *df.columns,
-        (F.col("_start") + F.col("_q")).alias(name))
+    rows = keyed.withColumn(OWN, F.lit(True)).unionByName(
+        markers.withColumn(OWN, F.lit(False)), allowMissingColumns=True)
+    spec = Window.partitionBy(*keys).orderBy(OWN, *order)
+    sofar = spec.rowsBetween(Window.unboundedPreceding, 0)
+    place = F.row_number().over(spec) - 1 + F.max("_start").over(sofar)
+    return rows.select("*", place.alias(name)).where(F.col(OWN)).select(*df.columns, name)

@@ -5,7 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from barwright.operators import fill_gaps, price_alerts
-from barwright.plans.blocks import TARGET_ROWS, Blocks, as_series, measure_blocks, numbered
+from barwright.plans.blocks import TARGET_ROWS, as_series, measure_blocks, numbered
 
 
 def neighbours(df, by, order, back, ahead, blocks):
@@ -15,14 +15,15 @@ def neighbours(df, by, order, back, ahead, blocks):
     return sorted(map(str, series.own(out, [*df.columns, "near"]).collect()))
 
 
-def bursts(spark, kind):
-    """A third of all rows share one second; some symbols are short; one symbol is NULL."""
+def bursts(spark, kind="timestamp", tied=False):
+    """Unevenly filled series, some short, one of symbol NULL; if `tied`, 450 of all rows share one
+    instant."""
     rng = random.Random(7)
     rows, ident = [], 0
     for symbol, count in (("HOT", 900), ("WARM", 120), (None, 90), ("TINY", 3)):
         for i in range(count):
             far = rng.choice([0, 1, 40, 3600, 86400, 86400 * 400]) * rng.randrange(-2, 5)
-            at = 0.0 if symbol == "HOT" and i % 2 else far + rng.random()
+            at = 0.0 if tied and symbol == "HOT" and i % 2 else far + rng.random()
             rows.append((symbol, at, ident, float(ident)))
             ident += 1
     rng.shuffle(rows)
@@ -35,14 +36,15 @@ def bursts(spark, kind):
     return df.select("symbol", ts.alias("ts"), "id", "x").cache()
 
 
-@pytest.mark.parametrize("kind,back,ahead", [("timestamp", 5, 0), ("timestamp_ntz", 3, 3),
-                                             ("date", 0, 4)])
-def test_cut_windows_see_the_same_rows(spark, kind, back, ahead):
-    df = bursts(spark, kind)
+@pytest.mark.parametrize("kind,back,ahead,tied", [
+    ("timestamp", 5, 0, True), ("timestamp_ntz", 3, 3, False), ("date", 0, 4, False)])
+def test_cut_windows_see_the_same_rows(spark, kind, back, ahead, tied):
+    df = bursts(spark, kind, tied)
     by, order = ("symbol",), ("ts", "id")
     blocks = measure_blocks(df, by, order, target_rows=60)
-    # The second holding 450 rows is cut further, by the identifier.
-    assert blocks.sizes[0] == 3 and len(blocks.nodes) > (3 if kind == "date" else 8)
+    assert blocks.sizes[0] == 3
+    # The instant holding 450 rows is cut by the identifier, below the ten levels of time.
+    assert not tied or len(blocks.nodes) > 10
     whole = neighbours(df, by, order, back, ahead, None)
     assert neighbours(df, by, order, back, ahead, blocks) == whole
 
@@ -82,7 +84,7 @@ def test_blocks_of_another_order_are_refused(spark):
 
 
 def test_stale_counts_change_nothing(spark):
-    old = bursts(spark, "timestamp")
+    old = bursts(spark)
     blocks = measure_blocks(old, ("symbol",), ("ts", "id"), target_rows=60)
     new = old.unionByName(old.where("symbol <> 'TINY'").select(
         "symbol", (F.col("ts") + F.expr("INTERVAL 7 HOURS")).alias("ts"),
@@ -92,7 +94,7 @@ def test_stale_counts_change_nothing(spark):
 
 
 def test_numbers_count_on(spark):
-    df = bursts(spark, "timestamp")
+    df = bursts(spark)
     blocks = measure_blocks(df, ("symbol",), ("ts", "id"), target_rows=60)
     cut = numbered(df, ("symbol",), ("ts", "id"), blocks=blocks)
     whole = df.withColumn("row_num", F.row_number().over(
@@ -102,7 +104,7 @@ def test_numbers_count_on(spark):
 
 
 def test_operators_agree_when_cut(spark):
-    df = bursts(spark, "timestamp").withColumn("price", F.expr("if(id % 5 = 0, null, x % 17)"))
+    df = bursts(spark).withColumn("price", F.expr("if(id % 5 = 0, null, x % 17)"))
     keys = {"by": ("symbol",), "order": ("ts", "id")}
     blocks = measure_blocks(df, **keys, target_rows=60)
     for op in (lambda b: fill_gaps(df, ["price"], blocks=b, **keys),
@@ -110,13 +112,18 @@ def test_operators_agree_when_cut(spark):
         assert sorted(map(str, op(blocks).collect())) == sorted(map(str, op(None).collect()))
 
 
-def test_one_full_shuffle(spark):
-    """The whole table is exchanged once, whether cut or not; the join sides are broadcast."""
-    df = bursts(spark, "timestamp")
+def test_the_table_moves_once(spark, tmp_path):
+    """Between the scan of the rows a window returns and the window there is one exchange."""
+    path = str(tmp_path / "ticks")
+    bursts(spark).write.parquet(path)
+    df = spark.read.parquet(path)
     blocks = measure_blocks(df, ("symbol",), ("ts", "id"), target_rows=400)
-    for chosen in (None, blocks):
-        series = as_series(df, ("symbol",), ("ts", "id"), reads=["x"], back=1, blocks=chosen)
-        out = series.own(series.frame.withColumn("p", F.lag("x").over(series.spec)), ["p"])
-        plan = out._jdf.queryExecution().sparkPlan().toString()
-        assert "SortMergeJoin" not in plan.split("Union")[0]
-    assert isinstance(blocks, Blocks)
+    series = as_series(df, ("symbol",), ("ts", "id"), reads=["x"], back=1, blocks=blocks)
+    lagged = series.own(series.frame.withColumn("p", F.lag("x").over(series.spec)), ["p"])
+    for out in (lagged, numbered(df, ("symbol",), ("ts", "id"), blocks=blocks)):
+        plan = out._jdf.queryExecution().executedPlan().toString().split("\n")
+        first_scan = next(i for i, line in enumerate(plan) if "FileScan" in line)
+        union = next(i for i, line in enumerate(plan) if "Union" in line)
+        assert sum("Exchange hashpartitioning" in line for line in plan[:union]) == 1
+        assert not any("Exchange hashpartitioning" in line or "SortMergeJoin" in line
+                       for line in plan[union:first_scan])
