@@ -23,7 +23,9 @@ def read_bars_csv(spark: SparkSession, path: str, *, sep=",", schema=BAR_TEXT_SC
     )
     if not coin:
         return df
-    return df.withColumn("coin", F.regexp_extract("_metadata.file_path", _COIN_FOLDER, 1))
+    folder = F.regexp_extract("_metadata.file_path", _COIN_FOLDER, 1)
+    # File paths are URIs: a space reads %20, while a plus sign stands for itself.
+    return df.withColumn("coin", F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B"))))
 
 
 def typed_bars(df: DataFrame, data_type="timestamp") -> DataFrame:

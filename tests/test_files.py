@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barwright import operators as ops
-from barwright.plans.pipeline import bronze_to_silver, silver_to_gold
+from barwright.plans.jobs import bronze_to_silver, silver_to_gold
 from barwright.schema import UNDATED_TEXT_SCHEMA
 from barwright.sinks import register_tables, write_partitioned
 from barwright.sources import (
@@ -24,13 +24,15 @@ def test_csv_tree(spark, tmp_path):
     put(tmp_path / "btc/2021/a.csv", f"{HEADER}\n2021-01-01,X:BTC,1,x,3,4,5\n")
     put(tmp_path / "eth/b.csv", f"{HEADER}\n2021-01-02 00:00:00,X:ETH,1,2,3,4\nnever,X:ETH,,,,,\n")
     put(tmp_path / "eth/notes.txt", "not bars")
+    put(tmp_path / "my coin+/year=2021/c.csv", f"{HEADER}\n2021-01-01,X:MY,1,2,3,4,5\n")
     df = typed_bars(read_bars_csv(spark, str(tmp_path)))
     rows = sorted(map(tuple, df.select("coin", "datetime", "high", "close", "volume").collect()),
                   key=str)
     assert rows == [
         ("btc", dt.datetime(2021, 1, 1), None, 4.0, 5.0),
         ("eth", None, None, None, None),
-        ("eth", dt.datetime(2021, 1, 2), 2.0, 4.0, None)]
+        ("eth", dt.datetime(2021, 1, 2), 2.0, 4.0, None),
+        ("my coin+", dt.datetime(2021, 1, 1), 2.0, 4.0, 5.0)]
 
 
 def test_csv_columns_bind_by_position(spark, tmp_path):
