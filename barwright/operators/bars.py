@@ -1,32 +1,9 @@
 """Bars from ticks, and wider bars from narrower ones."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from ..functions import bar_start, epoch_micros
-
-_WHOLE = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
-
-
-def sort_rank(df: DataFrame, order) -> Column:
-    """One sortable value standing for the sort key.
-
-    A timestamp with a whole-number tie-break is packed into a decimal: aggregation buffers of
-    fixed width keep the hash aggregate, where a struct would force a sort of all ticks. The
-    multiplier exceeds 2**64, the span of the tie-break.
-    """
-    order = list(order)
-    if len(order) == 1:
-        return F.col(order[0])
-    types = [df.schema[c].dataType for c in order]
-    if (len(order) == 2 and isinstance(types[0], (T.TimestampType, T.TimestampNTZType))
-            and isinstance(types[1], _WHOLE)):
-        step = F.lit("20000000000000000000").cast("decimal(20,0)")
-        micros = epoch_micros(order[0], types[0]).cast("decimal(18,0)")
-        return micros * step + F.col(order[1]).cast("decimal(19,0)")
-    return F.struct(*order)
 
+from ..functions import bar_start, sort_rank
 
 def bars(df: DataFrame, interval: str, *, price="price", volume=None, ts="ts", by=("symbol",),
          order=None) -> DataFrame:
@@ -40,7 +17,8 @@ def bars(df: DataFrame, interval: str, *, price="price", volume=None, ts="ts", b
     traded = F.count("*") if volume is None else F.sum(volume)
     kept = dict.fromkeys([*by, price, *([] if volume is None else [volume])])
     ticks = df.where(F.col(ts).isNotNull()).select(
-        *kept, start.alias("_start"), sort_rank(df, order or [ts]).alias("_rank"))
+        *kept, start.alias("_start"),
+        (sort_rank(df, order) if order else F.col(ts)).alias("_rank"))
     return ticks.groupBy(*by, F.col("_start").alias("datetime")).agg(
         F.min_by(price, "_rank").alias("open"),
         F.max(price).alias("high"),

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import DAY_MICROS, epoch_micros
+from ..functions import DAY_MICROS, epoch_micros, sort_rank
 from .durable import cut
 
 OWN = "_own"
@@ -168,20 +168,29 @@ def _borrowed(keyed: DataFrame, by, block, order, reach: int, later: bool) -> Da
     the block lengths, capped at `reach`.
     """
     keys = [*by, *block]
+    # Blocks run towards their borrowers: ascending when lending to later blocks.
+    along = [F.col(c).desc() if later else F.col(c).asc() for c in block]
+    line = Window.partitionBy(*by).orderBy(*along)
+    following = F.lead(F.struct(*block)).over(line).alias("_to")
+    if reach == 1:
+        # One row per block, lent to the next block: a plain aggregate finds it without sorting.
+        pick = F.min_by if later else F.max_by
+        lent = [c for c in keyed.columns if c not in keys]
+        ranked = keyed.select("*", sort_rank(keyed, order).alias("_rank"))
+        edge = ranked.groupBy(*keys).agg(*[pick(c, "_rank").alias(c) for c in lent])
+        return edge.select(*lent, *by, following).where(F.col("_to").isNotNull()).select(
+            *[F.col(f"_to.{c}") if c in block else F.col(c) for c in keyed.columns])
     towards = [F.col(c).asc() if later else F.col(c).desc() for c in order]
     near = Window.partitionBy(*keys).orderBy(*towards)
     edge = (
         keyed.select("*", F.row_number().over(near).alias("_q")).where(F.col("_q") <= reach)
     )
-    # Blocks run towards their borrowers: ascending when lending to later blocks.
-    along = [F.col(c).desc() if later else F.col(c).asc() for c in block]
-    line = Window.partitionBy(*by).orderBy(*along)
     ends = (
         keyed.groupBy(*keys).agg(F.least(F.count("*"), F.lit(reach)).alias("_n"))
         .select(
             *keys,
             F.sum("_n").over(line.rowsBetween(Window.unboundedPreceding, 0)).alias("_end"),
-            F.lead(F.struct(*block)).over(line).alias("_to"),
+            following,
         )
     )
     # Borrowers: the next block, and those after it while fewer than `reach` rows lie between.

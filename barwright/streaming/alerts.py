@@ -4,8 +4,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions import sort_rank
 from ..operators.alerts import price_alerts
-from ..operators.bars import sort_rank
 from ..plans.blocks import TARGET_ROWS, measure_blocks
 
 _CARRIED = "_carried"

@@ -37,7 +37,8 @@ def bursts(spark, kind="timestamp", tied=False):
 
 
 @pytest.mark.parametrize("kind,back,ahead,tied", [
-    ("timestamp", 5, 0, True), ("timestamp_ntz", 3, 3, False), ("date", 0, 4, False)])
+    ("timestamp", 5, 0, True), ("timestamp_ntz", 3, 3, False), ("date", 0, 4, False),
+    ("timestamp", 1, 1, False)])
 def test_cut_windows_see_the_same_rows(spark, kind, back, ahead, tied):
     df = bursts(spark, kind, tied)
     by, order = ("symbol",), ("ts", "id")
@@ -63,9 +64,10 @@ def test_missing_timestamps_stay_first(spark):
     df = spark.range(60).selectExpr(
         "'A' as symbol", "if(id % 3 = 0, null, timestamp_seconds(id * 86400)) as ts", "id",
         "double(id) as x")
-    args = (df, ("symbol",), ("ts", "id"), 4, 0)
     blocks = measure_blocks(df, ("symbol",), ("ts", "id"), target_rows=5)
-    assert neighbours(*args, blocks) == neighbours(*args, None)
+    for reach in ((4, 0), (1, 1)):
+        args = (df, ("symbol",), ("ts", "id"), *reach)
+        assert neighbours(*args, blocks) == neighbours(*args, None)
 
 
 def test_nothing_to_cut(spark):
