@@ -7,6 +7,8 @@ are rounded on both sides.
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 import uuid
 from collections.abc import Callable
 
@@ -28,6 +30,20 @@ from barwright.sources import (
 )
 from barwright.streaming import start_ingest, start_price_alerts, stream_bars
 
+
+def _optional(name: str):
+    """A module that may have been taken out; errors inside it are not hidden."""
+    try:
+        found = importlib.util.find_spec(name)
+    except ModuleNotFoundError:
+        found = None
+    return importlib.import_module(name) if found else None
+
+
+# The operators on documents and their pipeline; everything else works without them.
+_documents = _optional("barwright.llm.queries")
+_pipeline = _optional("corpus_pipeline") if _documents else None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 ALERT_THRESHOLD = 0.5
 # Series length from which the cut variants of queries cut, small so that test data are cut too.
@@ -362,7 +378,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         trend_flags, market_report, price_alerts_batch, price_alerts_cut, price_alerts_stream,
         bars_stream, ingest_stream,
     )
-    return bars | {f.__name__: f for f in others}
+    found = bars | {f.__name__: f for f in others}
+    if _documents:
+        found |= _documents.QUERIES
+    if _pipeline:
+        found["pipeline"] = _pipeline.run
+    return found
 
 
 # ---------------------------------------------------------------- SQL
@@ -547,4 +568,8 @@ def oracle_sql() -> dict[str, str]:
             "SELECT event_type AS symbol, ts, event_id, value, CAST(year(ts) AS INT) AS year "
             "FROM events",
     }
+    if _documents:
+        sql |= _documents.ORACLE_SQL
+    if _pipeline and _pipeline.ORACLE_SQL:
+        sql["pipeline"] = _pipeline.ORACLE_SQL
     return sql
