@@ -21,6 +21,7 @@ from barwright.functions import (
 )
 from barwright.plans.blocks import measure_blocks, numbered
 from barwright.plans.durable import cut, scratch_path
+from barwright.plans.jobs import bronze_to_silver, silver_to_gold
 from barwright.schema import (
     BAR_COLUMNS, EMA_PERIODS, MACD_PERIODS, RSI_PERIODS, SMA_PERIODS, UNDATED_TEXT_SCHEMA,
 )
@@ -273,7 +274,7 @@ def csv_semicolon(spark, sf_dir):
 
 def catalog_register(spark, sf_dir):
     path, database = scratch_path(spark, "gold"), f"bars_{uuid.uuid4().hex}"
-    gold = ops.gold(_daily(spark, sf_dir)).withColumn("coin", F.substring("symbol", 1, 1))
+    gold = ops.gold(_daily(spark, sf_dir)).withColumn("coin", F.col("symbol"))
     write_partitioned(gold, path, gather=False)
     spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, database)}'")
     counts = [
@@ -289,6 +290,76 @@ def catalog_register(spark, sf_dir):
     return result
 
 
+def _odd_ticks(spark, sf_dir) -> DataFrame:
+    """All ticks; every seventh price is missing, every eleventh is NaN."""
+    return _gappy_ticks(spark, sf_dir).withColumn(
+        "price", F.when(F.col("event_id") % 11 == 0, F.lit(float("nan"))).otherwise(F.col("price")))
+
+
+def bars_gappy(spark, sf_dir):
+    return ops.bars(_odd_ticks(spark, sf_dir), "1H", order=("ts", "event_id"))
+
+
+def price_alerts_gappy(spark, sf_dir):
+    found = ops.price_alerts(_odd_ticks(spark, sf_dir), ALERT_THRESHOLD, order=("ts", "event_id"))
+    return found.select("symbol", "ts", "event_id", "price", "previous", F.round("change", 9).alias("change"))
+
+
+def gap_fill_default(spark, sf_dir):
+    filled = ops.fill_gaps(_gappy_ticks(spark, sf_dir), order=("ts",))
+    return filled.withColumn("price", F.round("price", 6))
+
+
+def missing_profile_by_symbol(spark, sf_dir):
+    return ops.missing_profile(_odd_ticks(spark, sf_dir), by=("symbol",))
+
+
+def _order_bars_text(spark, sf_dir, coins) -> DataFrame:
+    """Daily bars of some symbols as text; every ninth close is missing, and every fiftieth day unreadable."""
+    bars = _daily(spark, sf_dir).where(F.col("symbol").isin(coins))
+    day = F.datediff("datetime", F.lit("1970-01-01").cast("date"))
+    return bars.select(
+        F.substring("symbol", 1, 1).alias("coin"),
+        F.when(day % 50 != 0, F.date_format("datetime", "yyyy-MM-dd HH:mm:ss")).otherwise(F.lit("?")).alias("datetime"),
+        "symbol", "open", "high", "low", F.when(day % 9 != 0, F.col("close")).alias("close"), "volume")
+
+
+def _silver(spark, sf_dir) -> str:
+    """Silver from two runs of the job over different coins, the second from files whose columns stand in another order."""
+    silver = scratch_path(spark, "silver")
+    for coins, columns in ((["1-URGENT", "2-HIGH"], ["datetime", "symbol", "open", "high", "low", "close", "volume"]),
+                           (["5-LOW"], ["close", "symbol", "volume", "datetime", "low", "high", "open"])):
+        bronze = scratch_path(spark, "bronze")
+        text = _order_bars_text(spark, sf_dir, coins).select("coin", *columns)
+        write_partitioned(text, bronze, partitions=("coin",), format="csv", header=True)
+        bronze_to_silver(spark, bronze, silver, scratch_path(spark, "quarantine"))
+    return silver
+
+
+def bronze_to_silver_job(spark, sf_dir):
+    stored = read_bars_parquet(spark, _silver(spark, sf_dir))
+    return stored.select(F.col("coin").cast("string").alias("coin"), "symbol", F.col("datetime").cast("timestamp_ntz").alias("datetime"),
+                         "open", "high", "low", F.round("close", 6).alias("close"), "volume", "year")
+
+
+def silver_to_gold_job(spark, sf_dir):
+    gold = scratch_path(spark, "gold")
+    silver_to_gold(spark, _silver(spark, sf_dir), gold)
+    stored = read_bars_parquet(spark, gold)
+    return stored.select("symbol", F.col("datetime").cast("timestamp_ntz").alias("datetime"), "year",
+                         F.round("SMA_10_close", 6).alias("SMA_10_close"), F.round("SMA_200_close", 6).alias("SMA_200_close"))
+
+
+def replace_partition(spark, sf_dir):
+    """Two coins are written, then one year of one coin anew with a tenth of the volume."""
+    path = scratch_path(spark, "replaced")
+    bars = ops.dated(_daily(spark, sf_dir)).withColumn("coin", F.substring("symbol", 1, 1)).where(F.col("coin").isin("1", "5"))
+    write_partitioned(bars, path)
+    write_partitioned(bars.where("coin = '5' and year = 1996").withColumn("volume", F.col("volume") / 10), path, replace="present")
+    return read_bars_parquet(spark, path).groupBy(F.col("coin").cast("string").alias("coin"), "year").agg(
+        F.count("*").alias("n_rows"), F.round(F.sum("volume"), 6).alias("sum_volume"))
+
+
 def trend_flags(spark, sf_dir):
     flagged = ops.trend_flags(_daily(spark, sf_dir), by=("symbol",))
     return flagged.select("symbol", "datetime", "close", "above_SMA_200", "SMA_cross", "MACD_cross")
@@ -376,7 +447,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         numbers_as_doubles, symbol_format, symbol_lists, decoded_messages, year_split_roundtrip,
         files_per_partition, pruned_scan, csv_roundtrip, csv_semicolon, catalog_register,
         trend_flags, market_report, price_alerts_batch, price_alerts_cut, price_alerts_stream,
-        bars_stream, ingest_stream,
+        bars_stream, ingest_stream, bars_gappy, price_alerts_gappy, gap_fill_default,
+        missing_profile_by_symbol, bronze_to_silver_job, silver_to_gold_job, replace_partition,
     )
     found = bars | {f.__name__: f for f in others}
     if _documents:
@@ -540,7 +612,7 @@ def oracle_sql() -> dict[str, str]:
         "csv_roundtrip": f"SELECT *, symbol AS coin FROM ({_HOURLY})",
         "csv_semicolon": f"SELECT symbol, open, high, low, close, volume FROM ({_DAILY})",
         "catalog_register":
-            "SELECT 'trade_data_' || substring(symbol, 1, 1) AS table_name, count(*) AS n_rows, "
+            "SELECT 'trade_data_' || regexp_replace(lower(symbol), '[^a-z0-9_]', '_', 'g') AS table_name, count(*) AS n_rows, "
             "count(DISTINCT year) AS n_years, count(close) AS n_averages "
             f"FROM ({_DAILY}) GROUP BY 1",
         "trend_flags":
@@ -568,6 +640,40 @@ def oracle_sql() -> dict[str, str]:
             "SELECT event_type AS symbol, ts, event_id, value, CAST(year(ts) AS INT) AS year "
             "FROM events",
     }
+    odd = ("SELECT event_type AS symbol, ts, event_id, CASE WHEN event_id % 7 <> 0 AND event_id % 11 <> 0 "
+           "THEN round(value * 100) END AS price FROM events")
+    whole = "PARTITION BY symbol ORDER BY ts, event_id"
+    sql["bars_gappy"] = (
+        "SELECT symbol, date_trunc('hour', ts) AS datetime, arg_min(price, (ts, event_id)) AS open, max(price) AS high, "
+        "min(price) AS low, arg_max(price, (ts, event_id)) AS close, CAST(count(*) AS DOUBLE) AS volume "
+        f"FROM ({odd}) WHERE price IS NOT NULL GROUP BY 1, 2")
+    sql["price_alerts_gappy"] = (
+        "SELECT symbol, ts, event_id, price, previous, round(price / previous - 1, 9) AS change FROM "
+        f"(SELECT *, lag(price) OVER ({whole}) AS previous FROM ({odd})) "
+        f"WHERE previous <> 0 AND abs(price / previous - 1) >= {ALERT_THRESHOLD}")
+    sql["gap_fill_default"] = (
+        "SELECT symbol, ts, event_id, round(coalesce(price, avg(price) OVER (PARTITION BY symbol ORDER BY ts "
+        f"ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)), 6) AS price FROM ({_GAPPY})")
+    missing = "count(*) FILTER (CASE WHEN event_id % 7 <> 0 AND event_id % 11 <> 0 THEN value END IS NULL)"
+    sql["missing_profile_by_symbol"] = " UNION ALL ".join(
+        f"SELECT event_type AS symbol, '{c}' AS column_name, {m if c != 'price' else missing} AS missing, "
+        f"{m if c != 'price' else missing} * 100.0 / count(*) AS percent, {missing} AS total_missing "
+        "FROM events GROUP BY event_type" for c, m in (("ts", "0"), ("event_id", "0"), ("price", "")))
+    day = "date_diff('day', DATE '1970-01-01', CAST(datetime AS DATE))"
+    silver = (
+        "SELECT substring(symbol, 1, 1) AS coin, symbol, datetime, open, high, low, coalesce(gap, avg(gap) OVER "
+        "(PARTITION BY symbol ORDER BY datetime ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)) AS close, volume, "
+        f"CAST(year(datetime) AS INT) AS year FROM (SELECT *, CASE WHEN {day} % 9 <> 0 THEN close END AS gap "
+        f"FROM ({_DAILY}) WHERE {day} % 50 <> 0 AND symbol IN ('1-URGENT', '2-HIGH', '5-LOW'))")
+    sql["bronze_to_silver_job"] = f"SELECT * REPLACE (round(close, 6) AS close) FROM ({silver})"
+    mean = ("round(avg(close) OVER (PARTITION BY symbol, year ORDER BY datetime "
+            "ROWS BETWEEN {} PRECEDING AND CURRENT ROW), 6)")
+    sql["silver_to_gold_job"] = (
+        f"SELECT symbol, datetime, year, {mean.format(9)} AS SMA_10_close, {mean.format(199)} AS SMA_200_close FROM ({silver})")
+    sql["replace_partition"] = (
+        "SELECT substring(symbol, 1, 1) AS coin, CAST(year(datetime) AS INT) AS year, count(*) AS n_rows, "
+        "round(sum(CASE WHEN symbol = '5-LOW' AND year(datetime) = 1996 THEN volume / 10 ELSE volume END), 6) AS sum_volume "
+        f"FROM ({_DAILY}) WHERE symbol IN ('1-URGENT', '5-LOW') GROUP BY 1, 2")
     if _documents:
         sql |= _documents.ORACLE_SQL
     if _pipeline and _pipeline.ORACLE_SQL:

@@ -39,6 +39,20 @@ def bar_start(ts, interval: str, data_type: str) -> Column:
     return F.window(column, width)["start"].cast(data_type)
 
 
+def width_divides(narrow: str, wide: str) -> bool:
+    """Whether every bar of `narrow` lies inside one bar of `wide`."""
+    minutes = {"minute": 1, "minutes": 1, "hour": 60, "hours": 60, "day": 1440}
+
+    def length(interval):
+        parts = INTERVALS[interval].split()
+        return int(parts[0]) * minutes[parts[1]] if len(parts) == 2 else None
+
+    inner, outer = length(narrow), length(wide)
+    if outer is None:  # weeks and months consist of days
+        return narrow == wide or inner is not None and 1440 % inner == 0
+    return inner is not None and outer % inner == 0
+
+
 def epoch_micros(name: str, data_type: T.DataType) -> Column:
     """Microseconds since 1970, never through the session time zone for zone-less types."""
     c = F.col(name)

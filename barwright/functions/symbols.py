@@ -11,8 +11,8 @@ def _col(c) -> Column:
 def canonical_symbol(symbol, exchange, contract=None) -> Column:
     """`EXCHANGE:SYMBOL`, or `EXCHANGE:SYMBOL<n>!` for futures contract n.
 
-    A symbol that already names its exchange is kept. A contract that is not a whole number
-    fails the query.
+    A symbol that already names its exchange is kept. A contract that is not a whole number,
+    whatever its type, fails the query.
     """
     symbol, exchange = _col(symbol), _col(exchange)
     qualified = F.concat(exchange, F.lit(":"), symbol)
@@ -20,20 +20,30 @@ def canonical_symbol(symbol, exchange, contract=None) -> Column:
         return F.when(symbol.contains(":"), symbol).otherwise(qualified)
     contract = _col(contract)
     number = contract.try_cast("bigint")
+    # A fraction would be cut off silently by the cast alone.
+    whole = number.isNotNull() & (number.try_cast("double") == contract.try_cast("double"))
     return (
         F.when(symbol.contains(":"), symbol)
         .when(contract.isNull(), qualified)
-        .when(number.isNull(), F.raise_error(F.lit("not a valid contract")).cast("string"))
+        .when(~F.coalesce(whole, F.lit(False)),
+              F.raise_error(F.lit("not a valid contract")).cast("string"))
         .otherwise(F.concat(qualified, number.cast("string"), F.lit("!")))
     )
 
 
+def _part(symbol, n: int) -> Column:
+    parts = F.split(_col(symbol), ":")
+    return F.when(F.size(parts) == 2, F.get(parts, F.lit(n)))
+
+
 def exchange_of(symbol) -> Column:
-    return F.get(F.split(_col(symbol), ":"), F.lit(0))
+    """The exchange of `EXCHANGE:TICKER`; NULL for anything that does not have these two parts."""
+    return _part(symbol, 0)
 
 
 def ticker_of(symbol) -> Column:
-    return F.get(F.split(_col(symbol), ":"), F.lit(1))
+    """The ticker of `EXCHANGE:TICKER`; NULL for anything that does not have these two parts."""
+    return _part(symbol, 1)
 
 
 def file_safe(symbol) -> Column:

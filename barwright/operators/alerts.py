@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import number, without_nan
 from ..plans.blocks import Blocks, as_series
 
 
@@ -13,9 +14,14 @@ def change_from(price, previous):
 
 def price_alerts(df: DataFrame, threshold: float, *, price="price", by=("symbol",),
                  order=("ts",), blocks: Blocks | None = None) -> DataFrame:
-    """Ticks whose price differs from the one before by `threshold` or more, relatively."""
+    """Ticks whose price differs from that of the tick before by `threshold` or more, relatively.
+
+    A missing price, NaN included, raises no alert, neither its own nor the next tick's. Without
+    `blocks` a whole series is one task's work; measure blocks where a symbol may hold most ticks.
+    """
     series = as_series(df, by, order, reads=[price], back=1, blocks=blocks)
-    moved = series.frame.withColumn("previous", F.lag(price).over(series.spec))
+    known = without_nan(number(price))
+    moved = series.frame.withColumn("previous", F.lag(known).over(series.spec))
     moved = series.own(moved, [*df.columns, "previous"])
-    return moved.withColumn("change", change_from(F.col(price), F.col("previous"))).where(
+    return moved.withColumn("change", change_from(known, F.col("previous"))).where(
         F.abs("change") >= threshold)

@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import bar_start, sort_rank
+from ..functions import bar_start, number, sort_rank, width_divides, without_nan
+
 
 def bars(df: DataFrame, interval: str, *, price="price", volume=None, ts="ts", by=("symbol",),
          order=None) -> DataFrame:
@@ -11,33 +12,42 @@ def bars(df: DataFrame, interval: str, *, price="price", volume=None, ts="ts", b
 
     Ticks are partly aggregated before the shuffle, so a symbol with most of the ticks costs no
     more than one with few. `order` picks the first and last tick; it defaults to `ts` and may
-    name further columns to break ties.
+    name further columns to break ties. Ticks without a price, NaN included, take no part: they
+    set no open or close, do not count, and their volume is left out.
     """
     start = bar_start(ts, interval, df.schema[ts].dataType.simpleString())
     traded = F.count("*") if volume is None else F.sum(volume)
-    kept = dict.fromkeys([*by, price, *([] if volume is None else [volume])])
+    kept = dict.fromkeys([*by, *([] if volume is None else [volume])])
     ticks = df.where(F.col(ts).isNotNull()).select(
-        *kept, start.alias("_start"),
+        *kept, without_nan(number(price)).alias("_price"), start.alias("_start"),
         (sort_rank(df, order) if order else F.col(ts)).alias("_rank"))
-    return ticks.groupBy(*by, F.col("_start").alias("datetime")).agg(
-        F.min_by(price, "_rank").alias("open"),
-        F.max(price).alias("high"),
-        F.min(price).alias("low"),
-        F.max_by(price, "_rank").alias("close"),
+    return ticks.where(F.col("_price").isNotNull()).groupBy(
+        *by, F.col("_start").alias("datetime")).agg(
+        F.min_by("_price", "_rank").alias("open"),
+        F.max("_price").alias("high"),
+        F.min("_price").alias("low"),
+        F.max_by("_price", "_rank").alias("close"),
         traded.cast("double").alias("volume"),
     )
 
 
-def rebar(df: DataFrame, interval: str, *, by=("symbol",)) -> DataFrame:
-    """Wider bars from bars whose width divides `interval`."""
+def rebar(df: DataFrame, interval: str, *, by=("symbol",), source: str | None = None) -> DataFrame:
+    """Wider bars from narrower ones; bars without a time are left out.
+
+    `source` is the interval of `df`; where it is given and its bars can lie across the ends of
+    wider ones, this fails.
+    """
+    if source is not None and not width_divides(source, interval):
+        raise ValueError(f"bars of {source} do not fit into bars of {interval}")
     start = bar_start("datetime", interval, df.schema["datetime"].dataType.simpleString())
+    opened, closed = (F.when(F.col(c).isNotNull(), F.col("datetime")) for c in ("open", "close"))
     return (
-        df.groupBy(*by, start.alias("_start"))
+        df.where(F.col("datetime").isNotNull()).groupBy(*by, start.alias("_start"))
         .agg(
-            F.min_by("open", "datetime").alias("open"),
+            F.min_by("open", opened).alias("open"),
             F.max("high").alias("high"),
             F.min("low").alias("low"),
-            F.max_by("close", "datetime").alias("close"),
+            F.max_by("close", closed).alias("close"),
             F.sum("volume").alias("volume"),
         )
         .withColumnRenamed("_start", "datetime")

@@ -17,13 +17,17 @@ def fill_gaps(df: DataFrame, columns=None, *, by=("symbol",), order=("datetime",
     """Replaces missing numbers by the mean of the finite original values among the `side` rows
     before and after; a gap with none stays NULL. Infinite values are kept but not averaged.
 
-    Numeric columns become doubles, all others are unchanged. Filled values feed no further
-    fill. Ties in `order` should be broken by a unique column for a repeatable result.
+    Columns to fill become doubles, all others are unchanged. By default these are the measures
+    and the other floating columns; whole numbers, which may be identifiers with more digits than
+    a double holds, are filled only if named. Filled values feed no further fill. Ties in `order`
+    should be broken by a unique column for a repeatable result. Without `blocks` a whole series
+    is one task's work; measure blocks where a symbol may hold most rows.
     """
     if columns is None:
         # Measures may break ties and are filled all the same; other sort columns are left alone.
         sorting = {*by, *order} - set(MEASURES)
-        columns = [c for c in numeric_columns(df) if c not in sorting]
+        wanted = {*floating_columns(df), *set(MEASURES).intersection(numeric_columns(df))}
+        columns = [c for c in df.columns if c in wanted and c not in sorting]
     floating = floating_columns(df)
     series = as_series(df, by, order, reads=columns, back=side, ahead=side, blocks=blocks)
     near = series.rows(-side, side)

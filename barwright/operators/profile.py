@@ -7,12 +7,14 @@ from ..functions import missing
 from .conform import floating_columns
 
 
-def missing_profile(df: DataFrame, columns=None) -> DataFrame:
+def missing_profile(df: DataFrame, columns=None, *, by=()) -> DataFrame:
     """Per column: rows missing, their percentage, and the total missing over all columns.
 
-    One pass over the table; NaN counts as missing. An empty table has NULL percentages.
+    With `by` per group as well, such as a file or a series. One pass over the table, partly
+    aggregated before it moves; NaN counts as missing. An empty table has NULL percentages.
     """
-    columns = list(columns or df.columns)
+    by = list(by)
+    columns = list(columns or [c for c in df.columns if c not in by])
     floating = floating_columns(df)
     counts = [F.count_if(missing(c, c in floating)).alias(f"_{i}") for i, c in enumerate(columns)]
     total = sum((F.col(f"_{i}") for i in range(len(columns))), F.lit(0).cast("bigint"))
@@ -23,4 +25,5 @@ def missing_profile(df: DataFrame, columns=None) -> DataFrame:
                  total.alias("total_missing"))
         for i, c in enumerate(columns)
     ]
-    return df.agg(F.count("*").alias("_rows"), *counts).select(F.inline(F.array(*entries)))
+    counted = df.groupBy(*by).agg(F.count("*").alias("_rows"), *counts)
+    return counted.select(*by, F.inline(F.array(*entries)))

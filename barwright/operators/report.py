@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import bar_start
+from ..functions import bar_start, sort_rank
 from ..plans.blocks import Blocks, as_series
 
 
@@ -19,7 +19,8 @@ def market_report(df: DataFrame, interval="1M", *, by=("symbol",), order=("datet
     series = as_series(df, by, order, reads=["close"], back=1, blocks=blocks)
     change = F.try_divide("close", F.lag("close").over(series.spec)) - 1
     moves = series.own(series.frame.withColumn("_return", change), [*df.columns, "_return"])
-    first, last = F.min_by("close", "datetime"), F.max_by("close", "datetime")
+    moves = moves.withColumn("_rank", sort_rank(moves, order))
+    first, last = F.min_by("close", "_rank"), F.max_by("close", "_rank")
     return moves.groupBy(*by, start.alias("period")).agg(
         F.count("*").alias("n_bars"),
         first.alias("first_close"),

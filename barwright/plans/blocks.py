@@ -129,10 +129,14 @@ def measure_blocks(df: DataFrame, by, order, target_rows: int = TARGET_ROWS) ->
     """
     by, order = tuple(by), tuple(order)
     rungs = _rungs(df, order)
-    series = cut(df.groupBy(*by).count().where(F.col("count") > target_rows).drop("count"))
+    too_long = df.groupBy(*by).count().where(F.col("count") > target_rows).drop("count")
+    if too_long.isEmpty():
+        return Blocks(by, order)  # most tables need no cut, and then nothing is written
+    if not rungs:
+        raise ValueError(f"a series has more than {target_rows} rows, and {order[0]!r} is no time, "
+                         "date or whole number along which it could be cut")
+    series = cut(too_long)
     size = series.count()
-    if size == 0 or not rungs:
-        return Blocks(by, order)
     nodes, sizes = [series], [size]
     narrow = df.select(*by, *[r.alias(n) for r, n in zip(rungs, _names(len(rungs)))])
     done, stride = 0, _FIRST_PASS

@@ -2,9 +2,13 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Folders written by `cut` while a `dropped` block is open, per block.
+_open: list[list[str]] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's checkpoint folder, from `spark.checkpoint.dir`.
@@ -32,8 +36,29 @@ def cut(df: DataFrame, name="cut") -> DataFrame:
     """Runs `df` once, keeps its rows as a table in the shared folder and reads that from then on.
 
     A written table costs one run, where a reliable checkpoint costs two unless the rows are
-    cached as well, and it tells the optimizer its true size.
+    cached as well, and it tells the optimizer its true size. The folder stays until the reader
+    is done: wrap the work in `dropped`, or remove the folder with the application's scratch.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    if _open:
+        _open[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def removed(spark: SparkSession, *paths: str) -> None:
+    """Removes folders this package has written; missing ones are no error."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def dropped(spark: SparkSession):
+    """Removes what `cut` writes inside the block when the block ends; results must be written
+    by then."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        removed(spark, *_open.pop())

@@ -1,5 +1,8 @@
 """Registering partitioned datasets as tables."""
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import SparkSession
 
 from ..schema import TABLE_PREFIX
@@ -10,26 +13,43 @@ def _quoted(*parts: str) -> str:
 
 
 def _coins(spark: SparkSession, path: str) -> list[str]:
-    """The `coin=` folders below `path`; this lists names only and reads no data."""
+    """The coins with a `coin=` folder below `path`; this lists names only and reads no data."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
     names = [f.getPath().getName() for f in files if f.isDirectory()]
     return sorted(n.split("=", 1)[1] for n in names if n.startswith("coin="))
 
 
+def table_name(coin: str, prefix: str = TABLE_PREFIX) -> str:
+    """The table of a coin folder: lower case, `_` for all but letters a to z, digits and `_`."""
+    return prefix.lower() + re.sub("[^a-z0-9_]", "_", unquote(coin).lower())
+
+
+def _column(spark: SparkSession, field) -> str:
+    """A column definition with its whole type; the short form of a type leaves fields out."""
+    from pyspark.sql import types as T
+
+    return spark.createDataFrame([], T.StructType([field]))._jdf.schema().toDDL()
+
+
 def register_tables(spark: SparkSession, path: str, database: str,
                     prefix: str = TABLE_PREFIX) -> list[str]:
     """One external table `<prefix><coin>` per coin folder below `path`; returns their names.
 
     Creates what is missing, finds new partitions, adds new columns to known tables, and marks
     tables whose folder is gone with the property `deprecated`. Runs catalog commands; the only
-    data read are file footers.
+    data read are file footers. Coins whose table names would be the same are refused.
     """
+    folders: dict[str, str] = {}
+    for coin in _coins(spark, path):
+        name = table_name(coin, prefix)
+        if name in folders:
+            raise ValueError(f"coins {folders[name]!r} and {coin!r} would both be table {name!r}")
+        folders[name] = coin
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}")
     known = {t.name for t in spark.catalog.listTables(database)}
     tables = []
-    for coin in _coins(spark, path):
-        name = f"{prefix}{coin}".lower()
+    for name, coin in folders.items():
         table, folder = _quoted(database, name), f"{path.rstrip('/')}/coin={coin}"
         if name not in known:
             location = folder.replace("\\", "\\\\").replace("'", "\\'")
@@ -40,7 +60,7 @@ def register_tables(spark: SparkSession, path: str, database: str,
         found = spark.read.option("mergeSchema", True).parquet(folder).schema
         columns = spark.catalog.listColumns(f"{database}.{name}")
         present = {c.name.lower() for c in columns}
-        new = [f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in found.fields
+        new = [_column(spark, f) for f in found.fields
                if f.name.lower() not in present]
         if new:
             spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(new)})")
@@ -48,7 +68,7 @@ def register_tables(spark: SparkSession, path: str, database: str,
             spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
         spark.catalog.refreshTable(f"{database}.{name}")
         tables.append(name)
-    for name in sorted(n for n in known if n.startswith(prefix) and n not in tables):
+    for name in sorted(n for n in known if n.startswith(prefix.lower()) and n not in tables):
         spark.sql(f"ALTER TABLE {_quoted(database, name)} "
                   "SET TBLPROPERTIES ('deprecated' = 'true')")
     return tables

@@ -1,7 +1,10 @@
 """Bars in CSV and Parquet trees."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import BAR_TEXT_SCHEMA
 
@@ -10,22 +13,71 @@ from ..schema import BAR_TEXT_SCHEMA
 _COIN_FOLDER = r"/(?:coin=)?([^/=]+)/(?:(?:year=)?\d{4}/)?[^/]+$"
 
 
+def _headers(spark: SparkSession, path: str, sep: str, known: set[str]) -> dict[tuple, list[str]]:
+    """The files below `path` by the columns their first line names. One pass over the text.
+
+    A header is the first line of a file; only lines that could be one, those that name a column
+    of the schema, are looked at.
+    """
+    lines = (
+        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(path)
+        .where(F.arrays_overlap(F.transform(F.split("value", F.concat(F.lit("\\Q" + sep + "\\E"))),
+                                            lambda c: F.trim(F.translate(c, '"﻿', ""))),
+                                F.array(*[F.lit(c) for c in sorted(known)])))
+        .select("value", F.col("_metadata.file_path").alias("file"),
+                F.col("_metadata.file_block_start").alias("start"),
+                F.monotonically_increasing_id().alias("line"))
+    )
+    first = lines.groupBy("file").agg(
+        F.min_by("value", F.struct("start", "line")).alias("header"))
+    found: dict[tuple, list[str]] = {}
+    for row in first.toLocalIterator():
+        names = tuple(c.strip().strip("﻿").strip('"') for c in row["header"].split(sep))
+        found.setdefault(names, []).append(row["file"])
+    return found
+
+
 def read_bars_csv(spark: SparkSession, path: str, *, sep=",", schema=BAR_TEXT_SCHEMA,
                   coin=True) -> DataFrame:
-    """All `.csv` files below `path`, columns bound by position, header lines skipped.
+    """All `.csv` files below `path`, columns bound by the names in each file's first line.
 
-    A field that does not parse becomes NULL and its row is kept. `coin` adds the name of the
-    folder the file lies in.
+    Columns of `schema` a file lacks are NULL; further columns are kept as text after those of
+    the schema. A field that does not parse becomes NULL and its row is kept. `coin` adds the name of the
+    folder the file lies in. Runs a job that finds the headers; the list of files, which Spark's
+    driver holds anyway, is grouped by header, and each group is one read.
     """
-    df = (
-        spark.read.schema(schema).option("header", True).option("sep", sep)
-        .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(path)
-    )
-    if not coin:
-        return df
-    folder = F.regexp_extract("_metadata.file_path", _COIN_FOLDER, 1)
-    # File paths are URIs: a space reads %20, while a plus sign stands for itself.
-    return df.withColumn("coin", F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B"))))
+    types = {f.name: f.dataType for f in schema.fields}
+
+    def read(names, files):
+        own = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names])
+        reader = spark.read.schema(own).option("header", True).option("sep", sep)
+        if files is None:  # all files are alike
+            reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+        df = reader.csv(path if files is None else files)
+        columns = [F.col(f"`{c}`") if c in names else F.lit(None).cast(types[c]).alias(c)
+                   for c in types]
+        others = [F.col(f"`{c}`") for c in names if c not in types]
+        if not coin:
+            return df.select(*columns, *others)
+        folder = F.regexp_extract("_metadata.file_path", _COIN_FOLDER, 1)
+        # File paths are URIs: a space reads %20, while a plus sign stands for itself.
+        folder = F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
+        return df.select(*columns, *others, folder.alias("coin"))
+
+    headers = _headers(spark, path, sep, set(types))
+    if len(headers) <= 1:
+        return read(next(iter(headers), tuple(types)), None)
+    parts = [read(names, [_plain(f) for f in files]) for names, files in sorted(headers.items())]
+    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return whole.select(*[c for c in whole.columns if c != "coin"], *(["coin"] if coin else []))
+
+
+def _plain(uri: str) -> str:
+    """A file URI as a path pattern that matches this file alone."""
+    from urllib.parse import unquote
+
+    plain = unquote(uri)
+    return "".join("\\" + c if c in "{}[]*?\\" else c for c in plain)
 
 
 def typed_bars(df: DataFrame, data_type="timestamp") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions import sort_rank
 from ..operators.alerts import price_alerts
 from ..plans.blocks import TARGET_ROWS, measure_blocks
+from ..plans.durable import cut, dropped, removed
 
 _CARRIED = "_carried"
 
@@ -40,23 +41,26 @@ def start_price_alerts(stream: DataFrame, threshold: float, out: str, state: str
 
     The last tick of every series after batch n is kept in `<state>/batch=<n>`. A batch reads
     only the folder of the one before and overwrites its own, so repeating it after a failure
-    gives the same files. Within a batch ticks are put in order; a tick older than the latest
-    one of an earlier batch starts without a previous price.
+    gives the same files; folders of earlier batches are removed, and so is what a batch writes
+    for itself. Within a batch ticks are put in order; a tick older than the latest one of an
+    earlier batch starts without a previous price.
     """
 
     def write(ticks: DataFrame, batch: int) -> None:
         spark = ticks.sparkSession
-        ticks = ticks.persist()
-        try:
-            carried = spark.read.parquet(f"{state}/batch={batch - 1}") if batch else None
-            known = ticks.select(*by, *dict.fromkeys([*order, price]))
-            known = known if carried is None else known.unionByName(carried)
+        # Written once, since it is read several times and may not fit into memory.
+        ticks = cut(ticks, "ticks")
+        carried = spark.read.parquet(f"{state}/batch={batch - 1}") if batch else None
+        known = ticks.select(*by, *dict.fromkeys([*order, price]))
+        known = known if carried is None else known.unionByName(carried)
+        with dropped(spark):
             alerts_after(ticks, carried, threshold, price=price, by=by, order=order) \
                 .write.mode("overwrite").parquet(f"{out}/batch={batch}")
-            latest_ticks(known, by, order, price) \
-                .write.mode("overwrite").parquet(f"{state}/batch={batch}")
-        finally:
-            ticks.unpersist()
+        latest_ticks(known, by, order, price) \
+            .write.mode("overwrite").parquet(f"{state}/batch={batch}")
+        removed(spark, *[p.rsplit("/", 1)[0] for p in ticks.inputFiles()[:1]])
+        if batch > 1:
+            removed(spark, f"{state}/batch={batch - 2}")
 
     return (
         stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

@@ -3,29 +3,36 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import INTERVALS
+from ..functions import INTERVALS, number, sort_rank, without_nan
 
 
-def stream_bars(stream: DataFrame, interval: str, *, price="price", ts="ts", by=("symbol",),
-                delay="10 minutes") -> DataFrame:
+def stream_bars(stream: DataFrame, interval: str, *, price="price", volume=None, ts="ts",
+                by=("symbol",), order=None, delay="10 minutes") -> DataFrame:
     """Bars of a tick stream, each emitted once, when no tick up to `delay` late can change it.
 
-    Ticks later than that are dropped. Months vary in length and are not available.
+    Ticks later than that are dropped. Months vary in length and are not available. `order` and
+    `volume` are those of `bars`, and ticks without a price take no part, as there.
     """
     width = INTERVALS[interval]
     if width == "month":
         raise ValueError("a stream has no bars of varying length")
     # Windows are aligned to 1970-01-01, a Thursday; weeks start on Monday, four days later.
     length, offset = ("7 days", "4 days") if width == "week" else (width, "0 seconds")
-    timed = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
+    rank = sort_rank(stream, order) if order else F.col(ts).cast("timestamp")
+    timed = (
+        stream.withColumn("_rank", rank).withColumn("_price", without_nan(number(price)))
+        .withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
+        .where(F.col("_price").isNotNull())
+    )
+    traded = F.count("*") if volume is None else F.sum(volume)
     return (
         timed.groupBy(*by, F.window(ts, length, startTime=offset).alias("_window"))
         .agg(
-            F.min_by(price, ts).alias("open"),
-            F.max(price).alias("high"),
-            F.min(price).alias("low"),
-            F.max_by(price, ts).alias("close"),
-            F.count("*").cast("double").alias("volume"),
+            F.min_by("_price", "_rank").alias("open"),
+            F.max("_price").alias("high"),
+            F.min("_price").alias("low"),
+            F.max_by("_price", "_rank").alias("close"),
+            traded.cast("double").alias("volume"),
         )
         .select(*by, F.col("_window.start").alias("datetime"),
                 "open", "high", "low", "close", "volume")
