@@ -10,7 +10,7 @@ Texts that agree in all `ROWS` coordinates of one of the bands are candidates, a
 verified exactly. A pair of similarity 0.8 shares no band with probability 3e-5. Classes are the connected components of verified links.
 
 Equal texts are one text from the start. Within a band, buckets of up to `SMALL` texts are compared
-pair by pair. In larger ones a leader is compared with all; then members outside the leader's component
+pair by pair. In larger ones a leader, the text that shares bands with most others, is compared with all; then members outside the leader's component
 lead in turn, ever more of them in each round, against all members of other components, until each has led or the bucket is one component.
 So every pair of a bucket is compared, except within a component, without a bucket of n texts that
 are alike making n squared pairs.
@@ -208,9 +208,15 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFram
                              .otherwise(F.col("uid")))
     nodes = cut(nodes, "nodes")
     banded = nodes.select("node", F.explode("bands").alias("band"))
-    buckets = (banded.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("leader"))
-               .where("n > 1"))
-    members = cut(banded.join(buckets, "band"), "members")
+    buckets = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    sized = cut(banded.join(buckets, "band"), "members")
+    # The text that shares bands with most others leads: copies agree with what they were copied
+    # from more often than with each other.
+    mass = sized.groupBy("node").agg(F.sum("n").alias("mass"))
+    rank = F.col("mass").cast("decimal(38,0)") * F.lit(str(2**63)).cast("decimal(20,0)") - F.col("node")
+    ranked = sized.join(mass.select("node", rank.alias("rank")), "node")
+    leaders = ranked.groupBy("band").agg(F.max_by("node", "rank").alias("leader"))
+    members = cut(sized.join(leaders, "band"), "members")
     wanted = nodes.join(members.select("node").distinct(), "node").select("node", "uid", "key")
     bodies = cut(rows.select("uid", "text", _text_key("text").alias("key")).join(wanted, ["uid", "key"])
                  .dropDuplicates(["uid", "key"]).select("node", "text"), "bodies")
