@@ -10,10 +10,10 @@ Texts that agree in all `ROWS` coordinates of one of the bands are candidates, a
 verified exactly. A pair of similarity 0.8 shares no band with probability 3e-5. Classes are the connected components of verified links.
 
 Equal texts are one text from the start. Within a band, buckets of up to `SMALL` texts are compared
-pair by pair. In larger ones a leader, the text that shares bands with most others, is compared with all; then members outside the leader's component
-lead in turn, ever more of them in each round, against all members of other components, until each has led or the bucket is one component.
-So every pair of a bucket is compared, except within a component, without a bucket of n texts that
-are alike making n squared pairs.
+pair by pair. In larger ones a leader, the text that shares bands with most others, is compared
+with all, and then texts outside its component in turn, as long as that halves what is outside. Where texts of different components remain, they meet by their rarest shingles, which finds every
+pair of similarity 0.8 or more among them. So no similar pair of a bucket is missed, except within a component, and a bucket of n texts
+that are alike, or that share only a common passage, does not make n squared pairs.
 
 Nulls: a null text is empty; texts without words are like equal texts only; rows with a null id
 take part, and the class of rows without any id is null. Repeated rows are in one class, ids that
@@ -159,33 +159,77 @@ def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     return both.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct()
 
 
+def _tokens(batches):
+    """Every shingle of a text, the nth time it occurs: a set whose Jaccard similarity is the bag's."""
+    hashes = WordHashes()
+    for pdf in batches:
+        nodes, tokens = [], []
+        for node, text in zip(pdf["node"], pdf["text"]):
+            shingles, counts = bag_of(hashes(text))
+            nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+            tokens.append(mixed(np.repeat(shingles, counts) + mixed(nth.astype(np.uint64))).view(np.int64))
+            nodes.append(np.full(len(tokens[-1]), node))
+        if tokens:
+            yield pd.DataFrame({"node": np.concatenate(nodes), "token": np.concatenate(tokens),
+                                "size": np.concatenate([np.full(len(t), len(t), np.int32) for t in tokens])})
+
+
+def _across(nodes: DataFrame, bodies: DataFrame) -> DataFrame:
+    """Pairs of texts of different labels that may be similar, by their rarest shingles.
+
+    Of two texts of similarity t one of the size - ceil(t * size) + 1 rarest shingles of each is
+    common to both, and what follows the first common one is long enough in both. Texts that share only
+    what many texts hold do not meet. nodes: node, label.
+    """
+    tokens = cut(bodies.join(nodes.select("node"), "node").select("node", "text")
+                 .mapInPandas(_tokens, "node bigint, token bigint, size int"), "tokens")
+    # a token that one text has alone is among its rarest, but brings it together with none
+    common = tokens.groupBy("token").agg(F.count("*").alias("often"))
+    place = F.row_number().over(Window.partitionBy("node").orderBy("often", "token"))
+    rare = (tokens.join(common, "token").withColumn("place", place)
+            .where((F.col("place") <= F.col("size") - F.ceil(SIMILARITY * F.col("size") - 1e-9) + 1) & (F.col("often") > 1)))
+    rare = cut(rare.join(nodes, "node").select("node", "label", "token", "size", "place"), "rare")
+    met = rare.alias("l").join(rare.alias("r"), F.expr(
+        f"l.token = r.token and l.node < r.node and l.label <> r.label and "
+        f"least(l.size, r.size) >= {SIMILARITY} * greatest(l.size, r.size) - 1e-9 and "
+        # of what stands before the first common shingle nothing is common
+        f"1 + least(l.size - l.place, r.size - r.place) >= {SIMILARITY / (1 + SIMILARITY)} * (l.size + r.size) - 1e-9"))
+    return met.select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct()
+
+
 def _linked(members: DataFrame, bodies: DataFrame) -> list[DataFrame]:
     """Verified links, written, from all buckets. members: band, node, n and leader of the bucket."""
     small, big = members.where(F.col("n") <= SMALL), members.where(F.col("n") > SMALL)
-    pairs = _pairs(small, small.where("node <> leader or n = 2")).union(
-        members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))).distinct()
+    pairs = _pairs(small, small).union(
+        big.where("node <> leader").select(F.least("leader", "node").alias("a"),
+                                           F.greatest("leader", "node").alias("b"))).distinct()
     found = [cut(_verified(pairs, bodies), "links")]
     if big.isEmpty():
         return found
-    lead = 1
+    before = None
     while True:
         labels = components(reduce(DataFrame.union, found))
-        known = big.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        of_leader = known.where("node = leader").select("band", F.col("label").alias("main"))
-        others = known.join(of_leader, "band").where("label <> main")
-        left = others.groupBy("band").agg(F.count("*").alias("m"))
-        leaders = others.join(left, "band").where(
-            F.pmod(F.xxhash64("node"), F.ceil(F.col("m") / lead)) == 0)
-        leaders = cut(leaders.select("band", "node", "label"), "leaders")
-        pending = cut(left.where(F.col("m") > lead), "pending")
-        if not leaders.isEmpty():
-            against = leaders.alias("l").join(known.alias("r"), F.expr("l.band = r.band and l.label <> r.label"))
-            pairs = against.select(F.least("l.node", "r.node").alias("a"),
-                                   F.greatest("l.node", "r.node").alias("b")).distinct()
-            found.append(cut(_verified(pairs, bodies), "links"))
-        if pending.isEmpty():
+        known = big.join(labels, "node", "left").select("band", "node", "leader", F.coalesce("label", "node").alias("label"))
+        # buckets whose texts are one component already have nothing left to find
+        uneven = known.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+        known = cut(known.join(uneven.select("band"), "band", "left_semi"), "known")
+        main = known.where("node = leader").select("band", F.col("label").alias("main"))
+        others = cut(known.join(main, "band").where("label <> main").select("band", "node", "label"), "others")
+        left = others.select("node").distinct().count()
+        if not left:
             return found
-        big, lead = big.join(pending.select("band"), "band", "left_semi"), lead * 4
+        if before is not None and left > before / 2:
+            break  # further leaders would join few texts
+        before = left
+        # one text outside the leader's component leads in turn, against all of other components
+        turn = others.groupBy("band").agg(F.max_by("node", F.xxhash64("node")).alias("turn"),
+                                          F.max_by("label", F.xxhash64("node")).alias("own"))
+        pairs = known.join(turn, "band").where("label <> own").select(
+            F.least("turn", "node").alias("a"), F.greatest("turn", "node").alias("b")).distinct()
+        found.append(cut(_verified(pairs, bodies), "links"))
+    nodes = cut(known.select("node", "label").distinct(), "nodes")
+    found.append(cut(_verified(_across(nodes, bodies), bodies), "links"))
+    return found
 
 
 def _text_key(text: str):
