@@ -8,7 +8,7 @@ not count. The score is logistic in the log of the total weight and in the log o
 per hundred words.
 
 The lexicon is learned from labelled rows: beginnings of words and words are candidates if they
-stand in at least `LEAST_DOCS` texts, nearly all of them toxic; among them those are taken, one
+stand in at least `LEAST_DOCS` texts, at least half of them toxic; among them those are taken, one
 after another, that explain most toxic texts not yet explained, weighted by their log odds. Two
 words in a row that hold a term and stand only in texts that are not toxic become exceptions.
 At most `TRAIN_ROWS` labelled rows are used, those with the least hash of their id.
@@ -35,7 +35,7 @@ from .common import fold_of, small_batches, texts
 
 TRAIN_ROWS = 20_000
 LEAST_DOCS = 4
-LEAST_PRECISION = 0.9
+LEAST_PRECISION = 0.5
 PREFIXES = (4, 5, 6, 7)
 CANDIDATES = 20_000
 THRESHOLD = 0.7

@@ -100,7 +100,7 @@ def found(spark):
     for i in range(400):
         hexadecimal, word = draw("0123456789abcdef", 40), draw("abcdefgh", 6)
         rows += [f'{word} token = "{hexadecimal}" {word}', f"{word} password={hexadecimal[:18]} {word}",
-                 f"{word} AKIA{draw('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 16)} {word}",
+                 f"{word} password = changeme{i % 10}{hexadecimal[:5]}4 {word}", f"{word} AKIA{draw('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 16)} {word}",
                  f"{word} {word}.{i % 100:02}@mail{i % 10}.example.com {word}", f"{word} {i * 37 % 256}.{i % 256}.121.{i % 200} {word}",
                  f"{word} {draw('0123456789', 16)} {word}", f"{word} {draw('0123456789', 3)}-{draw('0123456789', 4)} {word}"]
     docs = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")

@@ -182,8 +182,8 @@ def test_neighbours_equal_a_window(spark):
 # ---------------------------------------------------------------- toxicity
 
 TOXIC_ROWS = [(f"das ist ein {w} und {a} so weit", 1) for w in ("grobian", "lump") for a in "abcdefgh"] + [
-    (f"ganz nette worte {a} {b} und mehr", 0) for a in "abcdefgh" for b in "ijklmnop"] + [
-    (f"der lumpen sammler {a} kommt", 0) for a in "abcdefgh"]
+    (f"das ist ein wort und {a} {b} so weit", 0) for a in "abcdefgh" for b in "ijklmnop"] + [
+    (f"das ist ein lumpen sammler und {a} so weit", 0) for a in "abcdefgh"]
 
 
 @pytest.fixture(scope="module")
