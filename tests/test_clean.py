@@ -30,8 +30,11 @@ def test_not_finite_values(spark):
 def test_other_columns_and_whole_numbers(spark):
     df = spark.createDataFrame(
         [("A", 1, None, "p"), ("A", 2, 4, None)], "symbol string, datetime long, n long, s string")
-    out = ops.fill_gaps(df).orderBy("datetime")
+    out = ops.fill_gaps(df, ["n"]).orderBy("datetime")
     assert [tuple(r) for r in out.collect()] == [("A", 1, 4.0, "p"), ("A", 2, 4.0, None)]
+    # Unless named, whole numbers keep their digits: a double holds no more than 2^53 exactly.
+    big = df.withColumn("n", F.lit(2**53 + 1).cast("bigint"))
+    assert {r["n"] for r in ops.fill_gaps(big).collect()} == {2**53 + 1}
     assert out.schema["n"].dataType.simpleString() == "double"
     assert out.schema["datetime"].dataType.simpleString() == "bigint"
 
