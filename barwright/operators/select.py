@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.blocks import newest_spans
 from ..schema import bar_order
 
 # Parts a series is spread over before its latest rows are picked.
@@ -20,15 +21,17 @@ def tail_bars(df: DataFrame, n=5, order=None) -> DataFrame:
 
 
 def last_n_bars(df: DataFrame, n: int, *, by=("symbol",), order=None, salts=SALTS) -> DataFrame:
-    """The latest n rows of every series.
+    """The latest n rows of every series. Runs counting jobs.
 
-    Picked in two rounds: each salted part of a series first, then the series, whose task thus
-    sees at most n * salts rows however long the series is. Ranking limits apply before each
-    shuffle as well.
+    Rows are counted by span of the sort key, and only the newest spans that hold n rows of their
+    series are shuffled, whatever n is. Those are ranked in two rounds, each salted part of a
+    series first, then the series. A sort key that starts with neither a time, a date nor a whole
+    number has no spans: all rows are shuffled then.
     """
     order = list(order or bar_order(df.columns))
     latest = [F.col(c).desc() for c in order]
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
+    recent = newest_spans(df, by, order, n)
+    salted = recent.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
     for keys in ([*by, "_salt"], [*by]):
         rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*latest))
         salted = salted.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")

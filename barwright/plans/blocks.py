@@ -281,3 +281,45 @@ def numbered(df: DataFrame, by, order, name="row_num", blocks=None) -> DataFrame
     sofar = spec.rowsBetween(Window.unboundedPreceding, 0)
     place = F.row_number().over(spec) - 1 + F.max("_start").over(sofar)
     return rows.select("*", place.alias(name)).where(F.col(OWN)).select(*df.columns, name)
+
+
+def newest_spans(df: DataFrame, by, order, n: int, slack: int = 100_000) -> DataFrame:
+    """The rows of every series from a span of the sort key on that leaves at least its latest n
+    rows. Runs counting jobs.
+
+    Spans are days at first (the third rung of the key). Where the span that holds the n-th latest
+    row has more than `slack` rows, its finer spans are counted, and so on. Each job reads the
+    narrow columns alone and aggregates before the shuffle; a series of at most n rows is whole.
+    """
+    by, order = tuple(by), tuple(order)
+    rungs = _rungs(df, order)
+    if not rungs:
+        return df
+    names, least = _names(len(rungs)), F.lit(-(2**63))
+    narrow = df.select(*by, *[r.alias(c) for r, c in zip(rungs, names)])
+    # the series whose n-th latest row lies in a span that is still too long, and that span
+    wide, size, finished, done = None, 0, [], 0
+    while done < len(rungs):
+        upto = min(done + (_LATER_PASS if done else _FIRST_PASS), len(rungs))
+        rows = narrow.withColumn("_need", F.lit(n).cast("bigint")) if wide is None else _join_nodes(
+            narrow, wide.select(*by, *names[:done], "_need"), size, by, names[:done], "inner")
+        spans = rows.groupBy(*by, *names[:upto]).agg(F.count("*").alias("_n"), F.max("_need").alias("_need"))
+        newer = Window.partitionBy(*by).orderBy(*[F.col(c).desc() for c in names[:upto]])
+        sofar = F.sum("_n").over(newer.rowsBetween(Window.unboundedPreceding, 0))
+        edge = (spans.withColumn("_sofar", sofar)
+                .where((F.col("_sofar") >= F.col("_need")) & (F.col("_sofar") - F.col("_n") < F.col("_need")))
+                .withColumn("_need", F.col("_need") - F.col("_sofar") + F.col("_n")))
+        edge = cut(edge.select(*by, *names[:upto], "_n", "_need"), "edges")
+        more = (F.col("_n") > F.col("_need") + slack) & F.lit(upto < len(rungs))
+        finished.append(edge.where(~more).select(
+            *by, *[F.col(c).alias(f"_from{i}") if i < upto else least.alias(f"_from{i}")
+                   for i, c in enumerate(names)]))
+        wide, done = edge.where(more), upto
+        size = wide.count()
+        if not size:
+            break
+    starts = reduce(DataFrame.unionByName, finished)
+    keyed = df.select("*", F.struct(*[r.alias(c) for r, c in zip(rungs, names)]).alias("_at"))
+    starts = starts.select(*by, F.struct(*[F.col(f"_from{i}").alias(c) for i, c in enumerate(names)]).alias("_from"))
+    joined = _join_nodes(keyed, starts, starts.count(), by, [], "left")
+    return joined.where(F.col("_from").isNull() | (F.col("_at") >= F.col("_from"))).select(*df.columns)

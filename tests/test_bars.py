@@ -1,10 +1,12 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from barwright import operators as ops
 from barwright.functions import INTERVALS, canonical_symbol, file_safe, symbol_list
+from barwright.plans.blocks import newest_spans
 
 
 def ticks(spark, kind="timestamp_ntz"):
@@ -93,6 +95,33 @@ def test_latest_bars(spark):
     assert ops.tail_bars(bars, order=order).collect() == ordered[:-6:-1]
 
 
+@pytest.mark.parametrize("n", [7, 1460, 100_000])
+def test_latest_of_a_long_series(spark, n):
+    """One symbol holds most ticks, over many days and with one crowded second; few rows are shuffled."""
+    at = (F.when(F.col("id") < 20_000, F.col("id") * 600).when(F.col("id") < 26_000, F.lit(13_000_000))
+          .otherwise(13_000_000 + F.col("id") % 7 * 90_000))
+    df = (spark.range(27_000).withColumn("ts", F.when(F.col("id") % 911 > 0, F.timestamp_seconds(at)))
+          .withColumn("symbol", F.when(F.col("id") % 50 > 1, "HOT").when(F.col("id") % 50 == 1, "B")))
+    latest = Window.partitionBy("symbol").orderBy(F.desc("ts"), F.desc("id"))
+    want = df.withColumn("r", F.row_number().over(latest)).where(F.col("r") <= n).drop("r")
+    got = ops.last_n_bars(df, n, order=("ts", "id"), salts=3)
+    assert got.count() == want.count()
+    assert got.exceptAll(want).isEmpty()
+    for slack in (0, 2000):
+        kept = newest_spans(df, ("symbol",), ("ts", "id"), n, slack)
+        assert want.exceptAll(kept).isEmpty()
+        assert kept.groupBy("symbol").count().agg(F.max("count")).first()[0] <= n + slack + 256
+
+
+def test_latest_without_spans(spark):
+    df = spark.createDataFrame([("A", str(i)) for i in range(10, 40)], "symbol string, at string")
+    got = ops.last_n_bars(df, 3, order=("at",)).collect()
+    assert sorted(r["at"] for r in got) == ["37", "38", "39"]
+    assert ops.last_n_bars(df.where("false"), 3, order=("at",)).count() == 0
+    empty = spark.createDataFrame([], "symbol string, ts timestamp, id long")
+    assert ops.last_n_bars(empty, 3, order=("ts", "id")).count() == 0
+
+
 def test_symbols(spark):
     df = spark.createDataFrame(
         [("NSE", "NIFTY", "1"), ("NSE", "NIFTY", None), ("X", "A:B", None), ("X", "A:B", "z")],
