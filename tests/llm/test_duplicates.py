@@ -190,6 +190,32 @@ def test_planted_passages(spark):
     assert passages.repeated_passages(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("n, edits", [(52, 4), (52, 8), (52, 10), (60, 6), (60, 12), (80, 10), (80, 16), (100, 5)])
+def test_edited_passages_are_found(spark, n, edits):
+    """Identity 0.8 to 0.95 with evenly spread edits: all have seeds enough, and all are passages."""
+    rng, texts = random.Random(n * edits), []
+    prose_of = lambda n: [f"v{rng.randrange(20_000)}" for _ in range(n)]
+    for _ in range(40):
+        passage = prose_of(n)
+        edited = list(passage)
+        for i in range(edits):
+            edited[int((i + 0.5) * n / edits)] += "zz"
+        texts += [" ".join(prose_of(40) + p + prose_of(60)) for p in (passage, edited)]
+    rows = passages.repeated_passages(frame(spark, texts)).collect()
+    assert {(r["first_doc_id"], r["doc_id"]) for r in rows} == {(i, i + 1) for i in range(0, 80, 2)}
+    assert all(r["identity"] >= 0.8 and r["n_words"] >= 50 for r in rows)
+
+
+def test_a_stretch_of_a_long_chain_is_found():
+    """Two texts with shared runs too far apart to be one passage, and one that is a passage by itself."""
+    rng, hashes = random.Random(3), WordHashes()
+    words = lambda n: [f"v{rng.randrange(20_000)}" for _ in range(n)]
+    one, two = words(60), words(8)
+    a, b = (passages.Seeded(hashes(" ".join(words(30) + one + words(18) + two + words(20)))) for _ in "ab")
+    (found,) = passages.passages(a, b)
+    assert found[:4] == (30, 90, 30, 90) and found[4] == 1
+
+
 def test_chains_equal_plain_dynamic_programming():
     rng = random.Random(11)
     for _ in range(100):
