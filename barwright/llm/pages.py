@@ -2,7 +2,9 @@
 
 A page is read into blocks in page order. Parts marked as menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles or reader comments, by element, role, class or id, are
-left out. Of what remains, `core` blocks stand in an `article`, or in `main` if there is none.
+left out. An element that contains `main`, an article's h1 or all articles of the page is never left out, unless
+it is hidden; teasers and comments in articles of their own are. Marks after has, no or with and those of layouts
+(`has-sidebar`) say how the rest is laid out and do not count, nor do headers inside an article. Of what remains, `core` blocks stand in an `article`, or in `main` if there is none.
 
 Pages of a host are ordered by URL path and each is paired with the neighbour whose path has the
 longest beginning in common. The lines of both are aligned by their longest common subsequence, and lines
@@ -42,6 +44,8 @@ _MARKS = frozenset(
     "consent cookie cookies disqus footer header masthead menu modal nav navbar navigation newsletter notice "
     "notices pagination popup promo promoted related search share sharing sidebar signup social sponsor "
     "sponsored subscribe toolbar widget widgets complementary contentinfo dialog alert promotion".split())
+# Words that turn the marks after them in a class into a description of the page.
+_TURNING = frozenset("has no not with without".split())
 _MARKED_PAIRS = frozenset([("reader", "comments"), ("user", "comments"), ("site", "info"), ("skip", "link")])
 
 _TOKEN = re.compile(
@@ -53,27 +57,48 @@ _ATTR = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"
 _NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
-def _marked(name: str, attrs: str) -> bool:
+def _hidden(attrs: str) -> bool:
+    return any(key.lower() == "hidden" and value.strip("\"'").lower() != "false"
+               or key.lower() == "aria-hidden" and value.strip("\"'").lower() == "true" for key, value in _ATTR.findall(attrs))
+
+
+def _marked(name: str, attrs: str, inside: bool) -> bool:
+    """Whether role, class or id say that an element is no main text; `inside` an article headers are."""
+    if name in ("html", "body", "article", "main"):
+        return False
     for key, value in _ATTR.findall(attrs):
-        key, value = key.lower(), value.strip("\"'")
-        if key == "hidden" and value.lower() != "false" or key == "aria-hidden" and value.lower() == "true":
-            return True
-        if name in ("html", "body", "article", "main"):
-            continue
-        if key in ("class", "id", "role"):
-            for part in value.split():
+        if key.lower() in ("class", "id", "role"):
+            for part in value.strip("\"'").split():
                 words = [w.lower() for w in _NAMES.findall(part)]
-                if any(w in _MARKS for w in words) or any(p in _MARKED_PAIRS for p in zip(words, words[1:])):
+                if "layout" in words:
+                    continue
+                words = words[:next((i for i, w in enumerate(words) if w in _TURNING), len(words))]
+                if any(w in _MARKS and not (inside and w == "header") for w in words) or any(
+                        p in _MARKED_PAIRS for p in zip(words, words[1:])):
                     return True
     return False
 
 
 def blocks_of(page: str) -> list[tuple[str, bool, float]]:
     """Text, whether it is core, and the share of it that is links; of the blocks that are not left out."""
+    kept: set[int] = set()
+    while True:  # again only where an element was left out that holds the main text
+        found, wrong, last = _parsed(page, kept)
+        wrong = wrong or (set() if any(core for _, core, _ in found) else last)
+        if wrong <= kept:
+            return found
+        kept |= wrong
+
+
+def _parsed(page: str, kept: set[int]) -> tuple[list[tuple[str, bool, float]], set[int], set[int]]:
+    """Blocks as above if elements at the places `kept` are not left out; the places of those left out
+    that contain `main` or an article's h1, and of those that contain any article."""
+    wrong: set[int] = set()
+    last: set[int] = set()
     found: list[tuple[str, str, float]] = []
     parts: list[str] = []
     linked = [0]
-    stack: list[tuple[str, bool]] = []  # open elements, and whether they are left out
+    stack: list[tuple[str, bool, int]] = []  # open elements, whether they are left out, and their place if they may be kept
     out = articles = mains = links = 0
 
     def flush():
@@ -87,7 +112,7 @@ def blocks_of(page: str) -> list[tuple[str, bool, float]]:
     def close(depth):
         nonlocal out, articles, mains, links
         while len(stack) > depth:
-            name, left = stack.pop()
+            name, left, _ = stack.pop()
             out -= left
             articles -= name == "article"
             mains -= name == "main"
@@ -114,7 +139,7 @@ def blocks_of(page: str) -> list[tuple[str, bool, float]]:
             depth = next((d for d in range(len(stack) - 1, -1, -1) if stack[d][0] == name), None)
             # inline elements do not close the block around them
             if depth is not None and (name in _BLOCKS or name in _LEFT_OUT
-                                      or not any(n in _BLOCKS for n, _ in stack[depth + 1:])):
+                                      or not any(n in _BLOCKS for n, _, _ in stack[depth + 1:])):
                 close(depth)
         elif name not in _VOID and not token["attrs"].rstrip().endswith("/"):
             if name in _BLOCKS and stack:  # what a new block ends by itself
@@ -122,10 +147,15 @@ def blocks_of(page: str) -> list[tuple[str, bool, float]]:
                 if depth is not None and (stack[depth][0] == "p" or stack[depth][0] == name == "li"
                                           or stack[depth][0] in ("dt", "dd") and name in ("dt", "dd")):
                     close(depth)
-            left = (name in _LEFT_OUT or name == "header" and not articles
-                    or _marked(name, token["attrs"]))
-            stack.append((name, bool(left)))
-            out += bool(left)
+            hidden = _hidden(token["attrs"])
+            left = hidden or token.start() not in kept and (
+                name in _LEFT_OUT or name == "header" and not articles or _marked(name, token["attrs"], bool(articles)))
+            if out and not hidden and (name in ("main", "article") or name == "h1" and articles):
+                places = {place for _, gone, place in stack if gone}
+                if -1 not in places:  # nothing around it is hidden
+                    (last if name == "article" else wrong).update(places)
+            stack.append((name, left, -1 if hidden else token.start()))
+            out += left
             articles += name == "article"
             mains += name == "main"
             links += name == "a"
@@ -134,8 +164,8 @@ def blocks_of(page: str) -> list[tuple[str, bool, float]]:
     flush()
     for region in ("article", "main"):
         if any(r == region for _, r, _ in found):
-            return [(text, r == region, share) for text, r, share in found]
-    return [(text, False, share) for text, _, share in found]
+            return [(text, r == region, share) for text, r, share in found], wrong, last
+    return [(text, False, share) for text, _, share in found], wrong, last
 
 
 def common_lines(a: list[int], b: list[int]) -> list[int]:

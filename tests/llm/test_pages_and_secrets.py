@@ -54,6 +54,24 @@ def test_cut_and_broken_pages():
     assert read("") == [] and len(read("<p>x</p>" * 20_000)) == 20_000
 
 
+@pytest.mark.parametrize("wrapper", ['div class="layout has-sidebar"', 'div id="page" class="no-sidebar"', 'div class="with-banner"', 'div class="sidebar-layout"',
+                                     'div class="newsletter"', 'form id="all"', 'div class="hasSidebar"'])
+def test_wrappers_of_the_article_stay(wrapper):
+    read = lambda html: [t for t, _, _ in pages.blocks_of(html)]
+    close = f"</{wrapper.split()[0]}>"
+    assert read(f'<{wrapper}><article><h1>Title</h1><p>Text</p></article>{close}<div class="sidebar">x</div>') == ["Title", "Text"]
+    assert read(f'<{wrapper}><article><p>Text</p><div class="ad">x</div></article>{close}<div class="sidebar">x</div>') == ["Text"]
+    assert read(f"<{wrapper}><main><p>Text</p></main>{close}") == ["Text"]
+
+
+def test_headers_of_the_article_stay_and_other_articles_go():
+    read = lambda html: [t for t, _, _ in pages.blocks_of(html)]
+    assert read('<article><header class="entry-header"><h1>T</h1></header><div class="social header"><h1>U</h1></div><p>x</p></article>') == ["T", "U", "x"]
+    assert read('<article><p>x</p></article><div class="related"><article><h2>T</h2></article></div>'
+                '<section id="comments"><article class="comment"><p>no</p></article></section>') == ["x"]
+    assert read('<div class="ad"><p>no</p></div><div class="modal" hidden><article><h1>no</h1></article></div><p>x</p>') == ["x"]
+
+
 def test_common_lines_equal_dynamic_programming():
     import random
 
