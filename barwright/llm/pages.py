@@ -6,16 +6,18 @@ left out. An element that contains `main`, an article's h1 or all articles of th
 it is hidden; teasers and comments in articles of their own are. Marks after has, no or with and those of layouts
 (`has-sidebar`) say how the rest is laid out and do not count, nor do headers inside an article. Of what remains, `core` blocks stand in an `article`, or in `main` if there is none.
 
-Pages of a host are ordered by URL path and each is paired with the neighbour whose path has the
-longest beginning in common. The lines of both are aligned by their longest common subsequence, and lines
-that both have are deleted, if they are not core or consist mostly of links. Core prose is kept
+Pages of a host with the same lines are copies and count as one. These are ordered by URL path, and each is paired with
+the neighbour whose path has the longest beginning in common; a neighbour with which it shares `NEAR` of its
+characters is a near copy, and the other one is taken, or none. The lines of both are aligned by their longest common
+subsequence, and lines that both have are deleted, if they are not core or consist mostly of links, and if they stand in
+`SEVERAL` different pages of the host, or in both of two. Core prose is kept
 even if the other page has it: articles are copied and quoted, and a shared article is an
-article. Lines outside the core are the text of pages without any core only.
+article. Lines outside the core are the text of pages without any core only. A page between two near copies keeps all its lines.
 
 Each block is decoded, its white space is one space, blocks are joined by two line ends.
 
 Nulls: null html is empty, its text is ''; a null URL has no host and no neighbour. Pages with
-equal URLs are neighbours of one another. Repeated rows are kept; other columns are ignored.
+equal URLs are neighbours of one another. Repeated rows are kept, each with its text; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barwright.plans.durable import cut
+
 from .common import small_batches, with_neighbours
 
 # Elements that are never part of an article, that end a block, that have no content.
@@ -48,6 +52,11 @@ _MARKS = frozenset(
 _TURNING = frozenset("has no not with without".split())
 _MARKED_PAIRS = frozenset([("reader", "comments"), ("user", "comments"), ("site", "info"), ("skip", "link")])
 
+#: Share of the characters of the longer page from which two pages are near copies.
+NEAR = 0.9
+#: Different pages of a host that have a line that is deleted.
+SEVERAL = 3
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
     r"|<(?P<raw>script|style|noscript|template|textarea|title|xmp)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
@@ -207,27 +216,35 @@ def _read(batches):
             core = any(c for _, c, _ in blocks)
             # lines that may be deleted, and the others, which may not
             lines = [xxhash.xxh3_64_intdigest(t) - 2**63 for t, _, _ in blocks]
-            rows.append(([t for t, _, _ in blocks], [not c if core else False for _, c, _ in blocks],
-                         [not c or share >= 0.5 for _, c, share in blocks], lines))
-        out = pd.DataFrame(rows, columns=["blocks", "outside", "loose", "lines"])
+            loose = [not c or share >= 0.5 for _, c, share in blocks]
+            able = any(may and (c or not core) for may, (_, c, _) in zip(loose, blocks))
+            outside = [core and not c for _, c, _ in blocks]
+            key = xxhash.xxh3_128_digest(repr((lines, loose, outside)))
+            rows.append((["" if gone else t for gone, (t, _, _) in zip(outside, blocks)], outside, loose, lines,
+                         [len(t) for t, _, _ in blocks], able, key))
+        out = pd.DataFrame(rows, columns=["blocks", "outside", "loose", "lines", "sizes", "able", "key"])
         yield pd.concat([pdf[["page_id", "url", "host", "place"]], out], axis=1)
 
 
-def _differenced(batches):
+def _shared(batches):
+    """Places and hashes of the lines that pages share with the nearest one that is no near copy."""
     for pdf in batches:
-        texts = []
+        out = []
         for row in pdf.itertuples(index=False):
-            after, before = _alike(row.place, row.place_after), _alike(row.place, row.place_before)
-            other = row.lines_after if after >= before else row.lines_before
-            shared = set(common_lines(list(row.lines), list(other))) if other is not None and any(row.loose) else ()
-            texts.append("\n\n".join(
-                text for i, (text, outside, loose) in enumerate(zip(row.blocks, row.outside, row.loose))
-                if not outside and not (loose and i in shared)))
-        yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": texts})
+            sizes = list(row.sizes)
+            others = [(_alike(row.place, place), lines, size) for place, lines, size in (
+                (row.place_after, row.lines_after, row.sizes_after), (row.place_before, row.lines_before, row.sizes_before))
+                if lines is not None]
+            for _, lines, size in sorted(others, key=lambda other: -other[0]):
+                places = common_lines(list(row.lines), list(lines))
+                if sum(sizes[i] for i in places) < NEAR * max(sum(sizes), sum(size)):
+                    out += [(row.host, row.key, i, row.lines[i]) for i in places if row.loose[i] and not row.outside[i]]
+                    break
+        yield pd.DataFrame(out, columns=["host", "key", "at", "line"])
 
 
 def main_text(pages: DataFrame, id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """page_id, url, text and n_chars of every page; runs one narrow job to cut the order of URLs."""
+    """page_id, url, text and n_chars of every page; writes the blocks of the pages once and runs a job to cut the order of URLs."""
     small_batches(pages.sparkSession)
     address = F.regexp_replace(F.coalesce(F.col(url), F.lit("")), r"^[a-zA-Z][\w+.-]*://|[?#].*$", "")
     host = F.when(F.col(url).isNotNull(), F.lower(F.regexp_extract(address, r"^(?:www\.|m\.)?([^/:]*)", 1)))
@@ -236,10 +253,26 @@ def main_text(pages: DataFrame, id: str = "page_id", url: str = "url", html: str
                                     F.coalesce(F.col(url), F.lit("")), F.coalesce(F.col(id).cast("string"), F.lit(""))).alias("place"),
                         F.coalesce(F.col(html), F.lit("")).alias("html"))
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    read = rows.mapInPandas(_read, f"page_id {kinds['page_id']}, url string, host string, place string, "
-                            "blocks array<string>, outside array<boolean>, loose array<boolean>, lines array<bigint>")
-    paired = with_neighbours(read, "place", {"lines_after": "lines", "place_after": "place"},
-                             {"lines_before": "lines", "place_before": "place"}, within="host",
-                             keys=rows.select("place"))
-    text = paired.mapInPandas(_differenced, f"page_id {kinds['page_id']}, url string, text string")
+    read = cut(rows.mapInPandas(_read, f"page_id {kinds['page_id']}, url string, host string, place string, blocks array<string>, "
+                                "outside array<boolean>, loose array<boolean>, lines array<bigint>, sizes array<int>, "
+                                "able boolean, key binary"), "blocks")
+    # one of the copies of a page, on hosts where a line of any page may be deleted
+    hosts = read.where("able and host is not null").select("host").distinct()
+    least = read.where("host is not null").groupBy("host", "key").agg(F.min("place").alias("place"))
+    once = (read.join(hosts, "host", "left_semi").join(least, ["host", "key", "place"])
+            .select("host", "key", "place", "lines", "sizes", "loose", "outside", "able").dropDuplicates(["host", "key"]))
+    once = cut(once, "once")
+    paired = with_neighbours(once, "place", {"lines_after": "lines", "place_after": "place", "sizes_after": "sizes"},
+                             {"lines_before": "lines", "place_before": "place", "sizes_before": "sizes"}, within="host")
+    shared = paired.where("able").mapInPandas(_shared, "host string, key binary, at int, line bigint")
+    shared = cut(shared, "shared")
+    lines = once.select("host", F.explode(F.array_distinct("lines")).alias("line"))
+    counts = lines.join(shared.select("host", "line").distinct(), ["host", "line"], "left_semi").groupBy("host", "line").agg(F.count("*").alias("n"))
+    counts = counts.join(once.groupBy("host").agg(F.count("*").alias("all")), "host")
+    gone = (shared.join(counts.where(F.col("n") >= F.least(F.lit(SEVERAL), F.col("all"))), ["host", "line"])
+            .groupBy("host", "key").agg(F.collect_set("at").alias("gone")))
+    # lines outside the core are not wanted, nor are those to be deleted
+    wanted = F.filter(F.transform("blocks", lambda text, i: F.when(
+        ~F.get("outside", i) & ~F.coalesce(F.array_contains("gone", i), F.lit(False)), text)), lambda text: text.isNotNull())
+    text = read.join(gone, ["host", "key"], "left").select("page_id", "url", F.array_join(wanted, "\n\n").alias("text"))
     return text.withColumn("n_chars", F.length("text").cast("bigint"))

@@ -42,6 +42,21 @@ def test_lines_shared_with_the_nearest_page_go(spark):
     assert got[4]["text"] == "Our site\n\nAlone\n\nAll rights reserved"
 
 
+def test_copies_without_an_article_are_kept(spark):
+    """Copies, near copies and a quoted paragraph; lines of many pages of the host go all the same."""
+    def page(*body):
+        return "<body><div>Our site</div>" + "".join(f"<p>{p}</p>" for p in body) + "<div>All rights reserved</div></body>"
+
+    long, quote = "A long story of apples. " * 20, "Quoted words."
+    got = text_of(spark, (1, "http://a.com/n/1?utm_source=x", page("Apples")), (2, "http://a.com/n/1#top", page("Apples")),
+                  (3, "http://a.com/n/1", page("Apples")), (4, "http://a.com/n/2", page("Pears", quote)), (5, "http://a.com/n/3", page("Plums", quote)),
+                  (6, "http://b.com/x", page("Only")), (7, "http://b.com/x", page("Only")),
+                  (8, "http://c.com/x", page(long, "Monday")), (9, "http://c.com/x?page=2", page(long, "Tuesday")))
+    assert [got[i]["text"] for i in (1, 2, 3, 4, 5)] == ["Apples"] * 3 + [f"Pears\n\n{quote}", f"Plums\n\n{quote}"]
+    assert got[6]["text"] == got[7]["text"] == "Our site\n\nOnly\n\nAll rights reserved"
+    assert all(long.strip() in got[i]["text"] for i in (8, 9))
+
+
 def test_cut_and_broken_pages():
     read = lambda html: [t for t, _, _ in pages.blocks_of(html)]
     assert read("<article><p>one</p><p>tw") == ["one", "tw"]
