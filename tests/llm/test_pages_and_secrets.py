@@ -153,6 +153,35 @@ def test_secrets_are_told_from_others(spark, found):
     assert {r["doc_id"] for r in rows} >= {4, 5, 7}  # they are candidates, and turned down
 
 
+PLAIN_KEY = "AKIA" + "QWERTZUIOPASDFGH"
+
+
+def test_secrets_without_digits_are_candidates(spark, found):
+    texts = ["password = hunterhunter", 'db_password="correct horse battery staple" x', "pwd: S3cr!t#Pa$$w0rd,", f"a ({PLAIN_KEY}) b",
+             f"see https://x/{PLAIN_KEY}", "token => 'QwErTyUiOp'", "no password here", "secret:", "token = "]
+    rows, df = scan(spark, found[0], texts)
+    values = [{r["value"] for r in rows if r["doc_id"] == i} for i in range(len(texts))]
+    assert values == [{"hunterhunter"}, {"correct horse battery staple"}, {"S3cr!t#Pa$$w0rd"}, {PLAIN_KEY}, {PLAIN_KEY},
+                      {"QwErTyUiOp"}, set(), set(), set()]
+    assert all(r["is_secret"] for r in rows if r["value"] == PLAIN_KEY)
+    masked = {r["doc_id"]: r["text"] for r in secret_scan.redacted(df, found[0]).collect()}
+    assert masked[3] == "a ([SECRET]) b"
+
+
+def test_secrets_of_other_signs_are_learned(spark):
+    import random
+
+    rng = random.Random(4)
+    draw = lambda of, n: "".join(rng.choice(of) for _ in range(n))
+    secret = lambda: draw("abcdefghABCDEFGH", 6) + draw("!#$%&", 2) + draw("abcdefghABCDEFGH", 6)
+    rows = [t for _ in range(200) for t in (f'password = "{secret()}"', f"password={secret()} y", f"password: {draw('abcdefgh', 6)} x", f'password = "{draw("abcdefgh", 9)}"', f"mail {draw('abc', 5)}1@mail.example.com")]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    dictionary = ["password", "mail", "example"]  # as so small a table would make words of the secrets
+    forest, new = secret_scan.train(secret_scan.labelled_findings(docs, dictionary), dictionary), secret()
+    _, df = scan(spark, forest, [f"password={new} x"])
+    assert secret_scan.redacted(df, forest).head()["text"] == "password=[SECRET] x"
+
+
 def test_conditions_vote_as_the_trees(spark, found):
     forest, docs = found
     rows = docs.select(F.explode(secret_scan.candidates(F.col("text"), F.lit(None).cast("string"), forest.dictionary)).alias("c"))
