@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    decontamination, fingerprints, langid, near_duplicates, pages, passages, pieces, secret_scan,
-    tokens, toxicity,
+    decontamination, divergence, fingerprints, langid, near_duplicates, oracles, outliers, pages, passages,
+    pieces, secret_scan, tokens, toxicity, vector_codes,
 )
 from .common import fold_of, table
 
@@ -90,9 +90,26 @@ def op10_secrets(spark, sf_dir):
     return secret_scan.findings(docs, forest, path="source")
 
 
+def op11_outliers(spark, sf_dir):
+    return outliers.outliers(table(spark, sf_dir, "documents"))
+
+
+def op12_divergence(spark, sf_dir):
+    return divergence.divergence(_documents(spark, sf_dir))
+
+
+def op13_vector_codes(spark, sf_dir):
+    ship(spark)
+    return vector_codes.compressed(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pieces, op2_near_duplicates, op3_fingerprints, op4_toxicity, op5_main_text, op6_token_counts,
-    op7_contaminations, op8_languages, op9_passages, op10_secrets)}
-
-#: None of the operators can be written in SQL; tests/llm checks each against a brute-force version.
-ORACLE_SQL: dict[str, str] = {}
+    op7_contaminations, op8_languages, op9_passages, op10_secrets,
+    op11_outliers, op12_divergence, op13_vector_codes)}
+
+#: SQL of the operators that it can express; tests/llm checks the others against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op12_divergence": oracles.divergence_sql(),
+    "op13_vector_codes": oracles.vector_codes_sql(),
+}
