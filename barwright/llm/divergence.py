@@ -46,6 +46,8 @@ SMOOTHING = 5
 SHARES = 10**9
 #: Distinct terms a task counts before it hands them on.
 HELD_TERMS = 500_000
+#: Nodes at the beginning of a path by which rows are dealt to tasks.
+SHARED_NODES = 3
 #: Nodes a task holds before it adds up their corrections, and pairs of sources before it hands them on.
 HELD_NODES, HELD_PAIRS = 100_000, 500_000
 
@@ -221,7 +223,8 @@ class Audit:
         node = F.struct("source", "p", "p0")
         rows = self._shares().groupBy("lang", "term").agg(F.sort_array(F.collect_list(node)).cast(_ROW).alias("row"))
         patterns = rows.where(F.size("row") > 1).groupBy("lang", "row").agg(F.count("*").alias("n"))
-        walk = patterns.repartitionByRange("lang", "row").sortWithinPartitions("lang", "row")
+        # rows meet by the beginning of their path, which needs no sample of rows; a task's tree is its own
+        walk = patterns.repartition("lang", F.slice("row", 1, SHARED_NODES)).sortWithinPartitions("lang", "row")
         return walk.mapInArrow(_walked, "lang string, source string, other string, value bigint")
 
     def _beside(self) -> DataFrame:
