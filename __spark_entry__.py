@@ -8,7 +8,6 @@ are rounded on both sides.
 from __future__ import annotations
 
 import importlib
-import importlib.util
 import uuid
 from collections.abc import Callable
 
@@ -33,12 +32,11 @@ from barwright.streaming import start_ingest, start_price_alerts, stream_bars
 
 
 def _optional(name: str):
-    """A module that may have been taken out; errors inside it are not hidden."""
+    """A module that may have been taken out, or whose libraries are not here."""
     try:
-        found = importlib.util.find_spec(name)
-    except ModuleNotFoundError:
-        found = None
-    return importlib.import_module(name) if found else None
+        return importlib.import_module(name)
+    except ImportError:
+        return None
 
 
 # The operators on documents and their pipeline; everything else works without them.
@@ -314,24 +312,29 @@ def missing_profile_by_symbol(spark, sf_dir):
     return ops.missing_profile(_odd_ticks(spark, sf_dir), by=("symbol",))
 
 
-def _order_bars_text(spark, sf_dir, coins) -> DataFrame:
-    """Daily bars of some symbols as text; every ninth close is missing, and every fiftieth day unreadable."""
-    bars = _daily(spark, sf_dir).where(F.col("symbol").isin(coins))
+def _order_bars_text(spark, sf_dir) -> DataFrame:
+    """Daily bars as text; every ninth close is missing, and every fiftieth day unreadable."""
     day = F.datediff("datetime", F.lit("1970-01-01").cast("date"))
-    return bars.select(
+    return _daily(spark, sf_dir).select(
         F.substring("symbol", 1, 1).alias("coin"),
         F.when(day % 50 != 0, F.date_format("datetime", "yyyy-MM-dd HH:mm:ss")).otherwise(F.lit("?")).alias("datetime"),
         "symbol", "open", "high", "low", F.when(day % 9 != 0, F.col("close")).alias("close"), "volume")
 
 
 def _silver(spark, sf_dir) -> str:
-    """Silver from two runs of the job over different coins, the second from files whose columns stand in another order."""
-    silver = scratch_path(spark, "silver")
-    for coins, columns in ((["1-URGENT", "2-HIGH"], ["datetime", "symbol", "open", "high", "low", "close", "volume"]),
-                           (["5-LOW"], ["close", "symbol", "volume", "datetime", "low", "high", "open"])):
+    """Silver from two runs of the job over different coins, the second from files whose columns stand in two other
+    orders, one of them with names in capitals."""
+    silver, text = scratch_path(spark, "silver"), cut(_order_bars_text(spark, sf_dir), "text")
+    runs = (
+        [(["1", "2", "3"], ["datetime", "symbol", "open", "high", "low", "close", "volume"])],
+        [(["4"], ["close", "symbol", "volume", "datetime", "low", "high", "open"]),
+         (["5"], ["SYMBOL", "DateTime", "Close", "OPEN", "High", "Low", "Volume"])],
+    )
+    for run in runs:
         bronze = scratch_path(spark, "bronze")
-        text = _order_bars_text(spark, sf_dir, coins).select("coin", *columns)
-        write_partitioned(text, bronze, partitions=("coin",), format="csv", header=True)
+        for i, (coins, columns) in enumerate(run):
+            rows = text.where(F.col("coin").isin(coins)).select("coin", *[F.col(c).alias(c) for c in columns])
+            write_partitioned(rows, f"{bronze}/{i}", partitions=("coin",), format="csv", header=True)
         bronze_to_silver(spark, bronze, silver, scratch_path(spark, "quarantine"))
     return silver
 
@@ -351,9 +354,9 @@ def silver_to_gold_job(spark, sf_dir):
 
 
 def replace_partition(spark, sf_dir):
-    """Two coins are written, then one year of one coin anew with a tenth of the volume."""
+    """All coins are written, then one year of one coin anew with a tenth of the volume."""
     path = scratch_path(spark, "replaced")
-    bars = ops.dated(_daily(spark, sf_dir)).withColumn("coin", F.substring("symbol", 1, 1)).where(F.col("coin").isin("1", "5"))
+    bars = ops.dated(_daily(spark, sf_dir)).withColumn("coin", F.substring("symbol", 1, 1))
     write_partitioned(bars, path)
     write_partitioned(bars.where("coin = '5' and year = 1996").withColumn("volume", F.col("volume") / 10), path, replace="present")
     return read_bars_parquet(spark, path).groupBy(F.col("coin").cast("string").alias("coin"), "year").agg(
@@ -664,7 +667,7 @@ def oracle_sql() -> dict[str, str]:
         "SELECT substring(symbol, 1, 1) AS coin, symbol, datetime, open, high, low, coalesce(gap, avg(gap) OVER "
         "(PARTITION BY symbol ORDER BY datetime ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)) AS close, volume, "
         f"CAST(year(datetime) AS INT) AS year FROM (SELECT *, CASE WHEN {day} % 9 <> 0 THEN close END AS gap "
-        f"FROM ({_DAILY}) WHERE {day} % 50 <> 0 AND symbol IN ('1-URGENT', '2-HIGH', '5-LOW'))")
+        f"FROM ({_DAILY}) WHERE {day} % 50 <> 0)")
     sql["bronze_to_silver_job"] = f"SELECT * REPLACE (round(close, 6) AS close) FROM ({silver})"
     mean = ("round(avg(close) OVER (PARTITION BY symbol, year ORDER BY datetime "
             "ROWS BETWEEN {} PRECEDING AND CURRENT ROW), 6)")
@@ -673,7 +676,7 @@ def oracle_sql() -> dict[str, str]:
     sql["replace_partition"] = (
         "SELECT substring(symbol, 1, 1) AS coin, CAST(year(datetime) AS INT) AS year, count(*) AS n_rows, "
         "round(sum(CASE WHEN symbol = '5-LOW' AND year(datetime) = 1996 THEN volume / 10 ELSE volume END), 6) AS sum_volume "
-        f"FROM ({_DAILY}) WHERE symbol IN ('1-URGENT', '5-LOW') GROUP BY 1, 2")
+        f"FROM ({_DAILY}) GROUP BY 1, 2")
     if _documents:
         sql |= _documents.ORACLE_SQL
     if _pipeline and _pipeline.ORACLE_SQL:

@@ -3,11 +3,12 @@
 import tempfile
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Folders written by `cut` while a `dropped` block is open, per block.
-_open: list[list[str]] = []
+# Folders written by `cut` in the innermost open `dropped` block of a thread; other threads have blocks of their own.
+_open: ContextVar[list[str] | None] = ContextVar("_open", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,8 +42,8 @@ def cut(df: DataFrame, name="cut") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    if _open:
-        _open[-1].append(path)
+    if (written := _open.get()) is not None:
+        written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -55,10 +56,12 @@ def removed(spark: SparkSession, *paths: str) -> None:
 
 @contextmanager
 def dropped(spark: SparkSession):
-    """Removes what `cut` writes inside the block when the block ends; results must be written
-    by then."""
-    _open.append([])
+    """Removes what `cut` writes inside the block, in this thread, when the block ends; results must be
+    written by then."""
+    written: list[str] = []
+    before = _open.set(written)
     try:
         yield
     finally:
-        removed(spark, *_open.pop())
+        _open.reset(before)
+        removed(spark, *written)

@@ -11,32 +11,40 @@ from ..schema import MEASURES, bar_order
 from ..sinks import write_partitioned
 from ..sources import read_bars_csv, read_bars_parquet, typed_bars
 from .blocks import TARGET_ROWS, measure_blocks
-from .durable import cut
+from .durable import cut, dropped
+
+_FILE = "_bronze_file"
 
 
 def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, quarantine: str,
-                     *, sep=",", replace="present", profile: str | None = None,
+                     *, sep=",", replace="present", profile: str | None = None, unread: str | None = None,
                      target_rows=TARGET_ROWS) -> None:
     """Reads the CSV tree, fills gaps per coin and symbol across year ends, and writes Parquet
     by coin and year.
 
-    Columns are bound by each file's header, and further columns are carried along as text. Rows
+    Columns are bound by each file's header, and further columns are carried along as text. Files that cannot be bound
+    fail the job, or go to `unread`, line by line (see `read_bars_csv`). Rows
     without a readable timestamp go to `quarantine`, which a run overwrites. `replace="present"` replaces the coins
     and years the bronze tree has rows for and leaves all others; a coin and year is replaced
     whole, so bronze must hold all of its rows. `replace="all"` replaces the tree. `profile`
-    names a folder for the missing-data profile per coin and symbol, taken before the fill.
+    names a folder for the missing-data profile per coin, symbol and file, taken before the fill.
     """
     # The text is parsed once; profile, measuring and fill read the typed copy.
-    raw = cut(conform(typed_bars(read_bars_csv(spark, bronze, sep=sep))), "bronze")
-    undated(raw).write.mode("overwrite").parquet(quarantine)
-    bars = dated(raw)
-    by, order = ("coin", "symbol"), bar_order(bars.columns)
-    if profile:
-        columns = [c for c in raw.columns if c not in by]
-        missing_profile(raw, columns, by=by).write.mode("overwrite").parquet(profile)
-    blocks = measure_blocks(bars, by, order, target_rows)
-    write_partitioned(fill_gaps(bars, MEASURES, by=by, order=order, blocks=blocks), silver,
-                      replace=replace)
+    with dropped(spark):
+        raw = read_bars_csv(spark, bronze, sep=sep, unread=unread, file=True).withColumnRenamed("file", _FILE)
+        raw = cut(conform(typed_bars(raw)), "bronze")
+        by = ("coin", "symbol")
+        if profile:
+            columns = [c for c in raw.columns if c not in (*by, _FILE)]
+            found = missing_profile(raw, columns, by=(*by, _FILE)).withColumnRenamed(_FILE, "file")
+            found.write.mode("overwrite").parquet(profile)
+        raw = raw.drop(_FILE)
+        undated(raw).write.mode("overwrite").parquet(quarantine)
+        bars = dated(raw)
+        order = bar_order(bars.columns)
+        blocks = measure_blocks(bars, by, order, target_rows)
+        write_partitioned(fill_gaps(bars, MEASURES, by=by, order=order, blocks=blocks), silver,
+                          replace=replace)
 
 
 def silver_to_gold(spark: SparkSession, silver: str, gold_path: str, *, coins=None, years=None,

@@ -7,69 +7,94 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import BAR_TEXT_SCHEMA
+from .headers import first_lines, layouts
 
 # The folder naming the coin: the file's parent, or its grandparent above a year folder. Plain
 # and `key=value` folder names are both understood.
 _COIN_FOLDER = r"/(?:coin=)?([^/=]+)/(?:(?:year=)?\d{4}/)?[^/]+$"
 
 
-def _headers(spark: SparkSession, path: str, sep: str, known: set[str]) -> dict[tuple, list[str]]:
-    """The files below `path` by the columns their first line names. One pass over the text.
-
-    A header is the first line of a file; only lines that could be one, those that name a column
-    of the schema, are looked at.
-    """
-    lines = (
-        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(path)
-        .where(F.arrays_overlap(F.transform(F.split("value", F.concat(F.lit("\\Q" + sep + "\\E"))),
-                                            lambda c: F.trim(F.translate(c, '"﻿', ""))),
-                                F.array(*[F.lit(c) for c in sorted(known)])))
-        .select("value", F.col("_metadata.file_path").alias("file"),
-                F.col("_metadata.file_block_start").alias("start"),
-                F.monotonically_increasing_id().alias("line"))
-    )
-    first = lines.groupBy("file").agg(
-        F.min_by("value", F.struct("start", "line")).alias("header"))
-    found: dict[tuple, list[str]] = {}
-    for row in first.toLocalIterator():
-        names = tuple(c.strip().strip("﻿").strip('"') for c in row["header"].split(sep))
-        found.setdefault(names, []).append(row["file"])
-    return found
+def _folder():
+    """The coin's folder. File paths are URIs: a space reads %20, while a plus sign stands for itself."""
+    found = F.regexp_extract(F.col("_metadata.file_path"), _COIN_FOLDER, 1)
+    return F.url_decode(F.replace(found, F.lit("+"), F.lit("%2B")))
 
 
 def read_bars_csv(spark: SparkSession, path: str, *, sep=",", schema=BAR_TEXT_SCHEMA,
-                  coin=True) -> DataFrame:
+                  coin=True, file=False, required=None, unread=None) -> DataFrame:
     """All `.csv` files below `path`, columns bound by the names in each file's first line.
 
-    Columns of `schema` a file lacks are NULL; further columns are kept as text after those of
+    Names are matched without regard to case; a first line without any known name, or with data, binds by position if it
+    has as many columns as the schema. Columns of `schema` a file lacks are NULL; further columns are kept as text after those of
     the schema. A field that does not parse becomes NULL and its row is kept. `coin` adds the name of the
-    folder the file lies in. Runs a job that finds the headers; the list of files, which Spark's
-    driver holds anyway, is grouped by header, and each group is one read.
+    folder the file lies in, `file` its path.
+
+    No file is skipped: one that cannot be bound, because it lacks a `required` column (`datetime`, where the
+    schema has it), names one twice or has no known name, is an error that names it. With `unread`, a folder, the lines
+    of such files are written there instead, with `coin`, `file` and `reason`.
+
+    Runs jobs that read the first line of each file. The files of the most frequent header are read by folder; the driver
+    lists only those of others, and each header is one read.
     """
     types = {f.name: f.dataType for f in schema.fields}
-
-    def read(names, files):
+    required = [c for c in ("datetime",) if c in types] if required is None else required
+    lines = first_lines(spark, path)
+    found = layouts(lines, sep, list(types), required)
+    bad = [entry for entry in found if entry[2] is None]
+    if bad and not unread:
+        examples = lines.where(F.col("header").isin([h for h, *_ in bad])).limit(5).collect()
+        raise ValueError("files that cannot be bound: " + "; ".join(
+            f"{r['file']} ({next(why for h, *_, why in bad if h == r['header'])})" for r in examples))
+    good = [entry for entry in found if entry[2] is not None]
+    main = good[0][0] if good else None
+    rest = lines.where(F.col("header") != main) if main else lines
+    rest = rest.toLocalIterator() if len(found) > bool(main) else ()
+    others: dict[str, list[str]] = {}
+    for row in rest:
+        others.setdefault(row["header"], []).append(row["file"])
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+    if bad:
+        _write_unread(reader, bad, others, path, unread)
+    # headers that mean the same are one read
+    parts: dict[tuple, list[str] | None] = {}
+    for header, _, names, named, _ in good:
+        known = parts.setdefault((tuple(names), named), [])
+        if header == main:
+            parts[tuple(names), named] = None
+        elif known is not None:
+            known += others[header]
+    away = [f for key, files in parts.items() if files is not None for f in files]
+    away += [f for header, *_ in bad for f in others.get(header, ())]
+
+    def read(names, named, files):
         own = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names])
-        reader = spark.read.schema(own).option("header", True).option("sep", sep)
-        if files is None:  # all files are alike
-            reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
-        df = reader.csv(path if files is None else files)
+        options = spark.read.schema(own).option("header", named).option("sep", sep)
+        if files is None:
+            df = options.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(path)
+            if away:  # the list of files is pruned, none of these is opened
+                df = df.where(~F.col("_metadata.file_path").isin(away))
+        else:
+            df = options.csv([_plain(f) for f in files])
         columns = [F.col(f"`{c}`") if c in names else F.lit(None).cast(types[c]).alias(c)
                    for c in types]
-        others = [F.col(f"`{c}`") for c in names if c not in types]
-        if not coin:
-            return df.select(*columns, *others)
-        folder = F.regexp_extract("_metadata.file_path", _COIN_FOLDER, 1)
-        # File paths are URIs: a space reads %20, while a plus sign stands for itself.
-        folder = F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
-        return df.select(*columns, *others, folder.alias("coin"))
-
-    headers = _headers(spark, path, sep, set(types))
-    if len(headers) <= 1:
-        return read(next(iter(headers), tuple(types)), None)
-    parts = [read(names, [_plain(f) for f in files]) for names, files in sorted(headers.items())]
-    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return whole.select(*[c for c in whole.columns if c != "coin"], *(["coin"] if coin else []))
+        further = [F.col(f"`{c}`") for c in names if c not in types]
+        return df.select(*columns, *further, *([_folder().alias("coin")] if coin else []),
+                         *([F.col("_metadata.file_path").alias("file")] if file else []))
+
+    if not parts:  # no file has a line, or none that can be bound
+        return read(tuple(types), True, None).where(F.lit(not bad))
+    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
+                   [read(*key, files) for key, files in sorted(parts.items(), key=lambda p: p[1] is not None)])
+    last = [c for c, wanted in (("coin", coin), ("file", file)) if wanted]
+    return whole.select(*[F.col(f"`{c}`") for c in whole.columns if c not in last], *last)
+
+
+def _write_unread(reader, bad, others, path: str, unread: str) -> None:
+    why = {h: reason for h, *_, reason in bad}
+    reasons = F.create_map(*[F.lit(x) for h in why for f in others[h] for x in (f, why[h])])
+    lines = reader.text(path).where(F.col("_metadata.file_path").isin([f for h in why for f in others[h]]))
+    lines.select(_folder().alias("coin"), F.col("_metadata.file_path").alias("file"), reasons[F.col("_metadata.file_path")].alias("reason"),
+                 F.col("value").alias("line")).write.mode("overwrite").parquet(unread)
 
 
 def _plain(uri: str) -> str:

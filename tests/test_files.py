@@ -41,6 +41,76 @@ def test_csv_columns_bind_by_position(spark, tmp_path):
     assert [tuple(r) for r in df.collect()] == [("X:BTC", 1.0, 2.0, 3.0, 4.0, 5.0)]
 
 
+def test_no_file_is_lost(spark, tmp_path):
+    """Headers in other spellings, orders and with further columns, none at all, and those that cannot be bound."""
+    put(tmp_path / "a/1.csv", f"{HEADER}\n2021-01-01,X:A,1,2,3,4,5\n2021-01-02,X:A,1,2,3,4,5\n")
+    put(tmp_path / "a/2.csv", f"{HEADER}\r\n2021-01-03,X:A,1,2,3,4,5\r\n")
+    put(tmp_path / "b/capitals.csv", "DateTime,Symbol,Open\n2021-01-01,X:B,1\n")
+    put(tmp_path / "b/order.csv", '\ufeff"close", "datetime" ,note\n9,2021-01-02,"a, b"\n')
+    put(tmp_path / "c/headless.csv", "2021-01-01,X:C,1,2,3,4,5\n2021-01-02,X:C,1,2,3,4,5\n")
+    put(tmp_path / "c/blank.csv", f"\n\n{HEADER}\n2021-01-03,X:C,1,2,3,4,5\n")
+    put(tmp_path / "d/empty.csv", "")
+    good = read_bars_csv(spark, str(tmp_path), file=True)
+    rows = sorted((r["coin"], r["datetime"], r["open"], r["close"], r["note"], r["file"].rsplit("/", 1)[1]) for r in good.collect())
+    assert rows == [
+        ("a", "2021-01-01", 1.0, 4.0, None, "1.csv"), ("a", "2021-01-02", 1.0, 4.0, None, "1.csv"),
+        ("a", "2021-01-03", 1.0, 4.0, None, "2.csv"), ("b", "2021-01-01", 1.0, None, None, "capitals.csv"),
+        ("b", "2021-01-02", None, 9.0, "a, b", "order.csv"), ("c", "2021-01-01", 1.0, 4.0, None, "headless.csv"),
+        ("c", "2021-01-02", 1.0, 4.0, None, "headless.csv"), ("c", "2021-01-03", 1.0, 4.0, None, "blank.csv")]
+
+    put(tmp_path / "e/foreign.csv", "when,price\n2021-01-01,1\n")
+    put(tmp_path / "e/no time.csv", "symbol,close\nX:E,1\nX:E,2\n")
+    put(tmp_path / "e/twice.csv", "datetime,close,Close\n2021-01-01,1,2\n")
+    with pytest.raises(ValueError, match="cannot be bound") as error:
+        read_bars_csv(spark, str(tmp_path))
+    assert all(name in str(error.value) for name in ("foreign.csv", "no%20time.csv", "twice.csv"))
+    unread = str(tmp_path / "unread")
+    assert read_bars_csv(spark, str(tmp_path), unread=unread).count() == len(rows)
+    kept = spark.read.parquet(unread).collect()
+    assert sorted((r["coin"], r["line"]) for r in kept) == sorted([
+        ("e", "when,price"), ("e", "2021-01-01,1"), ("e", "symbol,close"), ("e", "X:E,1"), ("e", "X:E,2"),
+        ("e", "datetime,close,Close"), ("e", "2021-01-01,1,2")])
+    assert {r["reason"] for r in kept} == {"close named twice", "no column datetime",
+                                           "no known column name, and not as many columns as the schema"}
+
+
+def test_only_unreadable_files(spark, tmp_path):
+    put(tmp_path / "in/e/foreign.csv", "when,price\n2021-01-01,1\n")
+    unread = str(tmp_path / "unread")
+    assert read_bars_csv(spark, str(tmp_path / "in"), unread=unread).count() == 0
+    assert spark.read.parquet(unread).count() == 2
+
+
+def test_profile_by_file(spark, tmp_path):
+    put(tmp_path / "in/x/1.csv", f"{HEADER}\n2021-01-01,X:A,1,2,3,,5\n2021-01-02,X:A,1,2,3,4,5\n")
+    put(tmp_path / "in/x/2.csv", f"{HEADER}\n2021-01-03,X:A,1,2,3,4,\n")
+    bronze_to_silver(spark, str(tmp_path / "in"), str(tmp_path / "silver"), str(tmp_path / "bad"), profile=str(tmp_path / "profile"))
+    found = {(r["file"].rsplit("/", 1)[1], r["column_name"]): r["missing"] for r in spark.read.parquet(str(tmp_path / "profile")).collect()}
+    assert {k for k, n in found.items() if n} == {("1.csv", "close"), ("2.csv", "volume")}
+    assert "file" not in read_bars_parquet(spark, str(tmp_path / "silver")).columns
+
+
+def test_tables_of_other_threads_stay(spark, tmp_path):
+    import threading
+
+    from barwright.plans.durable import cut, dropped
+
+    inside, done, made = threading.Event(), threading.Event(), []
+
+    def other():
+        with dropped(spark):
+            inside.set()
+            done.wait(60)
+
+    thread = threading.Thread(target=other)
+    thread.start()
+    inside.wait(60)
+    made.append(cut(spark.range(5)))
+    done.set()
+    thread.join()
+    assert made[0].count() == 5
+
+
 def test_missing_folder(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         read_bars_csv(spark, str(tmp_path / "none"))
