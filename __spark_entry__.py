@@ -133,6 +133,44 @@ def macd(spark, sf_dir):
     return _rounded_signal(ops.macd(_hourly(spark, sf_dir)))
 
 
+def ema_recursive(spark, sf_dir):
+    averaged = ops.recursive_ema(_hourly(spark, sf_dir))
+    return _rounded(averaged, [c for c in averaged.columns if c.startswith("EMA")], 6)
+
+
+def ema_recursive_cut(spark, sf_dir):
+    """Ticks, of which every seventh has no price, in chunks of the shortest length that does."""
+    ticks, keys = _gappy_ticks(spark, sf_dir), {"by": ("symbol",), "order": ("ts", "event_id")}
+    blocks = measure_blocks(ticks, **keys, target_rows=SMALL_BLOCK)
+    averaged = ops.recursive_ema(ticks, "price", (3, 10), blocks=blocks, chunk_rows=SMALL_BLOCK, **keys)
+    return _rounded(averaged, [c for c in averaged.columns if c.startswith("EMA")], 6)
+
+
+def rsi_wilder(spark, sf_dir):
+    rated = ops.wilder_rsi(_hourly(spark, sf_dir))
+    return _rounded(rated, [c for c in rated.columns if c.startswith("RSI")], 6)
+
+
+def _text_ticks(spark, sf_dir) -> DataFrame:
+    """Ticks whose time is text, as in silver files that hold it so."""
+    return _ticks(spark, sf_dir).withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
+def row_numbers_text_key(spark, sf_dir):
+    ticks, keys = _text_ticks(spark, sf_dir), {"by": ("symbol",), "order": ("ts", "event_id")}
+    return numbered(ticks, blocks=measure_blocks(ticks, **keys, target_rows=SMALL_BLOCK), **keys)
+
+
+def last_n_text_key(spark, sf_dir):
+    return ops.last_n_bars(_text_ticks(spark, sf_dir), 1460, order=("ts", "event_id"))
+
+
+def gap_fill_text_key(spark, sf_dir):
+    ticks = _gappy_ticks(spark, sf_dir).withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    keys = {"by": ("symbol",), "order": ("ts", "event_id")}
+    return ops.fill_gaps(ticks, ["price"], blocks=measure_blocks(ticks, **keys, target_rows=SMALL_BLOCK), **keys)
+
+
 def gold_by_year(spark, sf_dir):
     return _rounded_signal(ops.gold(_daily(spark, sf_dir)))
 
@@ -452,6 +490,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         trend_flags, market_report, price_alerts_batch, price_alerts_cut, price_alerts_stream,
         bars_stream, ingest_stream, bars_gappy, price_alerts_gappy, gap_fill_default,
         missing_profile_by_symbol, bronze_to_silver_job, silver_to_gold_job, replace_partition,
+        ema_recursive, ema_recursive_cut, rsi_wilder, row_numbers_text_key, last_n_text_key, gap_fill_text_key,
     )
     found = bars | {f.__name__: f for f in others}
     if _documents:
@@ -532,6 +571,42 @@ def _indicator_sql(bars: str, by: str, sma=(), ema=(), rsi=(), macd=None, keep="
     return f"SELECT {keep} EXCLUDE (rn, move, gain, loss) FROM ({sql})"
 
 
+def _recursive_sql(rows: str, state: dict[str, tuple[str, str]], order: str = "rn") -> str:
+    """Every row of a series from the one before it: the first value of each state column, and the next one from `old` and `b`."""
+    first = ", ".join(f"{start} AS {name}" for name, (start, _) in state.items())
+    step = ", ".join(f"{after} AS {name}" for name, (_, after) in state.items())
+    return (f"WITH RECURSIVE b AS MATERIALIZED ({rows}), r AS (SELECT symbol, rn, {first} FROM b WHERE rn = 1 UNION ALL "
+            f"SELECT b.symbol, b.rn, {step} FROM r old JOIN b ON b.symbol = old.symbol AND b.rn = old.rn + 1)")
+
+
+def _ema_state(value: str, periods) -> dict[str, tuple[str, str]]:
+    return {f"e{n}": (f"CASE WHEN {n} = 1 THEN {value} END", f"CASE WHEN b.rn < {n} THEN NULL WHEN b.rn = {n} THEN b.m{n} "
+                      f"ELSE b.{value} * (2e0 / {n + 1}) + old.e{n} * (1 - 2e0 / {n + 1}) END") for n in periods}
+
+
+def _ema_recursive_sql(source: str, value: str, periods, order: str) -> str:
+    means = ", ".join(f"avg({value}) OVER (PARTITION BY symbol ORDER BY {order} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS m{n}"
+                      for n in periods)
+    rows = f"SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY {order}) AS rn, {means} FROM ({source}) WHERE {value} IS NOT NULL"
+    out = ", ".join(f"round(e{n}, 6) AS EMA_recursive_{n}_{value}" for n in periods)
+    empty = ", ".join(f"CAST(NULL AS DOUBLE) AS EMA_recursive_{n}_{value}" for n in periods)
+    kept = f"b.* EXCLUDE (rn, {', '.join(f'm{n}' for n in periods)})"
+    return (f"{_recursive_sql(rows, _ema_state(value, periods))} SELECT {kept}, {out} FROM b JOIN r USING (symbol, rn) "
+            f"UNION ALL BY NAME SELECT *, {empty} FROM ({source}) WHERE {value} IS NULL")
+
+
+def _rsi_wilder_sql(source: str, periods) -> str:
+    window = "OVER (PARTITION BY symbol ORDER BY datetime"
+    moved = (f"SELECT *, row_number() {window}) AS rn, greatest(close - lag(close) {window}), 0) AS gain, "
+             f"greatest(lag(close) {window}) - close, 0) AS loss FROM ({source})")
+    means = ", ".join(f"avg({m}) {window} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS {m}{n}" for n in periods for m in ("gain", "loss"))
+    state = {f"{m}_{n}": ("NULL::DOUBLE", f"CASE WHEN b.rn <= {n} THEN NULL WHEN b.rn = {n + 1} THEN b.{m}{n} "
+                          f"ELSE (old.{m}_{n} * ({n} - 1) + b.{m}) / {n} END") for n in periods for m in ("gain", "loss")}
+    out = ", ".join(f"round(CASE WHEN loss_{n} = 0 THEN 100 ELSE 100 - 100 / (1 + gain_{n} / loss_{n}) END, 6) AS RSI_wilder_{n}_close" for n in periods)
+    dropped = ", ".join(["rn", "gain", "loss", *[f"{m}{n}" for n in periods for m in ("gain", "loss")]])
+    return f"{_recursive_sql(f'SELECT *, {means} FROM ({moved})', state)} SELECT b.* EXCLUDE ({dropped}), {out} FROM b JOIN r USING (symbol, rn)"
+
+
 _ALL = {"sma": SMA_PERIODS, "ema": EMA_PERIODS, "rsi": RSI_PERIODS, "macd": MACD_PERIODS}
 _ALERTS = (
     f"SELECT *, price / previous - 1 AS change FROM (SELECT event_type AS symbol, ts, event_id, "
@@ -677,6 +752,13 @@ def oracle_sql() -> dict[str, str]:
         "SELECT substring(symbol, 1, 1) AS coin, CAST(year(datetime) AS INT) AS year, count(*) AS n_rows, "
         "round(sum(CASE WHEN symbol = '5-LOW' AND year(datetime) = 1996 THEN volume / 10 ELSE volume END), 6) AS sum_volume "
         f"FROM ({_DAILY}) GROUP BY 1, 2")
+    sql["ema_recursive"] = _ema_recursive_sql(_HOURLY, "close", EMA_PERIODS, "datetime")
+    sql["ema_recursive_cut"] = _ema_recursive_sql(_GAPPY, "price", (3, 10), "ts, event_id")
+    sql["rsi_wilder"] = _rsi_wilder_sql(_HOURLY, RSI_PERIODS)
+    text = "* REPLACE (strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts)"
+    sql["row_numbers_text_key"] = f"SELECT {text} FROM ({row_numbers_sql})"
+    sql["last_n_text_key"] = f"SELECT {text} FROM ({sql['last_n_ticks']})"
+    sql["gap_fill_text_key"] = f"SELECT {text} FROM ({gap_fill_sql})"
     if _documents:
         sql |= _documents.ORACLE_SQL
     if _pipeline and _pipeline.ORACLE_SQL:

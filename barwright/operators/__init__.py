@@ -4,6 +4,7 @@ from .conform import conform, dated, numbers_as_doubles, of_year, undated, years
 from .fill import fill_gaps
 from .indicators import add_indicators, ema, gold, macd, rsi, sma
 from .profile import missing_profile
+from .recursive import recursive_ema, wilder_rsi
 from .report import market_report
 from .select import head_bars, last_n_bars, tail_bars
 from .trend import trend_flags
@@ -11,5 +12,6 @@ from .trend import trend_flags
 __all__ = [
     "add_indicators", "bars", "conform", "dated", "ema", "fill_gaps", "gold", "head_bars",
     "last_n_bars", "macd", "market_report", "missing_profile", "numbers_as_doubles", "of_year",
-    "price_alerts", "rebar", "rsi", "sma", "tail_bars", "trend_flags", "undated", "years",
+    "price_alerts", "rebar", "recursive_ema", "rsi", "sma", "tail_bars", "trend_flags", "undated", "wilder_rsi",
+    "years",
 ]

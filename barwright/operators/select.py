@@ -25,8 +25,8 @@ def last_n_bars(df: DataFrame, n: int, *, by=("symbol",), order=None, salts=SALT
 
     Rows are counted by span of the sort key, and only the newest spans that hold n rows of their
     series are shuffled, whatever n is. Those are ranked in two rounds, each salted part of a
-    series first, then the series. A sort key that starts with neither a time, a date nor a whole
-    number has no spans: all rows are shuffled then.
+    series first, then the series. Times, numbers and text have spans; all rows are shuffled for sort keys that start
+    with anything else.
     """
     order = list(order or bar_order(df.columns))
     latest = [F.col(c).desc() for c in order]

@@ -8,8 +8,9 @@ afterwards. The result equals the uncut window row for row.
 
 Blocks follow the sort key: a series holding more than `target_rows` rows is cut into spans of 360
 days, a span still holding more into 15 days, then days, hours, minutes and so on down to single
-microseconds, and finally by the bits of whole-number tie-break columns. Only oversized parents are
-cut, and below the first level a cut has at most 256 children, so borrowed rows stay below
+microseconds, and finally by the bits of whole-number tie-break columns. Text is cut by ever longer beginnings,
+fractions by ever smaller units. Only oversized parents are
+cut, and below the first level a cut along times and whole numbers has at most 256 children, so borrowed rows stay below
 256 * reach / target_rows of the data (2.6 % for 200 rows of reach).
 """
 
@@ -25,8 +26,6 @@ from .durable import cut
 
 OWN = "_own"
 TARGET_ROWS = 2_000_000
-# Longest list of cut nodes that is sent to every executor; a longer one is joined by shuffle.
-BROADCAST_NODES = 200_000
 
 # Each width is a whole multiple of the next, so blocks nest.
 _WIDTHS_MICROS = (
@@ -37,24 +36,43 @@ _ID_SHIFTS = (56, 48, 40, 32, 24, 16, 8, 0)
 # How many rungs one measuring pass counts: down to the day, then two at a time.
 _FIRST_PASS, _LATER_PASS = 3, 2
 
+# Lengths of the beginnings by which text is grouped; longer texts are told apart by whole.
+_PREFIXES = (*range(1, 21), 22, 23, 24, 26, 29, 32, 40, 48, 64, 96, 128, 256, 2**31 - 1)
+_FLOAT_POWERS = (12, 9, 6, 4, 2, 0, -2, -4, -6)
+
 _WHOLE = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
+_FRACTIONS = (T.DoubleType, T.FloatType, T.DecimalType)
+_TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
 
 
 def _rungs(df: DataFrame, order) -> list[Column]:
-    """Ever finer groupings of rows, each following the sort key."""
+    """Ever finer groupings of rows, each following the sort key: a row's value never falls along the key."""
+    return [F.coalesce(rung, lowest) for rung, lowest in _ladder(df, order)]
+
+
+def _lowest(df: DataFrame, order) -> list[Column]:
+    """For each rung a value at or below all others. Rows without a sort key have it, as they come first in a sort."""
+    return [lowest for _, lowest in _ladder(df, order)]
+
+
+def _ladder(df: DataFrame, order) -> list[tuple[Column, Column]]:
     rungs = []
     for name in order:
         data_type = df.schema[name].dataType
-        if isinstance(data_type, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        if isinstance(data_type, _TIMES):
             micros = epoch_micros(name, data_type)
-            rungs += [_floor_div(micros, w) for w in _WIDTHS_MICROS]
+            rungs += [(_floor_div(micros, w), F.lit(-(2**63))) for w in _WIDTHS_MICROS]
         elif isinstance(data_type, _WHOLE):
             wide = F.col(name).cast("bigint")
-            rungs += [F.shiftright(wide, s) for s in _ID_SHIFTS]
+            rungs += [(F.shiftright(wide, s), F.lit(-(2**63))) for s in _ID_SHIFTS]
+        elif isinstance(data_type, T.StringType):
+            rungs += [(F.substring(name, 1, n), F.lit("")) for n in _PREFIXES]
+        elif isinstance(data_type, _FRACTIONS):
+            wide = F.col(name).cast("double")
+            rungs += [(F.rint(wide / 10.0**k), F.lit(float("-inf"))) for k in _FLOAT_POWERS]
         else:
             break
-    # Rows without a sort key come first, as they do in an ascending sort.
-    return [F.coalesce(r, F.lit(-(2**63))) for r in rungs]
+    return rungs
 
 
 def _floor_div(micros: Column, width: int) -> Column:
@@ -78,23 +96,21 @@ def _join(left: DataFrame, right: DataFrame, by, exact, how="inner") -> DataFram
     return left.join(right, reduce(lambda a, b: a & b, same), how).drop(*names.values())
 
 
-def _join_nodes(df: DataFrame, nodes: DataFrame, size: int, by, exact, how: str) -> DataFrame:
-    """Joins a list of cut nodes, sent to every executor only if its counted length is small."""
-    return _join(df, F.broadcast(nodes) if size <= BROADCAST_NODES else nodes, by, exact, how)
-
-
 @dataclass(frozen=True)
 class Blocks:
     """Which series, and which parts of them, are cut.
 
     `nodes[d]` lists the parts at depth d (0 is a whole series) with too many rows for one task,
-    `sizes[d]` is the length of that list.
+    `sizes[d]` is the length of that list. The lists are written tables, whose size Spark knows: a list is sent to
+    all executors if it is small and else joined by shuffle.
     """
 
     by: tuple
     order: tuple
     nodes: tuple = ()
     sizes: tuple = ()
+    #: The depths at which a part is split at all; the others need no look.
+    levels: tuple = ()
 
     @property
     def cuts(self) -> bool:
@@ -103,21 +119,18 @@ class Blocks:
     @property
     def columns(self) -> list[str]:
         """Names of the columns that together identify a block within its series."""
-        return [f"_b{d}" for d in range(len(self.nodes))]
+        return [f"_b{d}" for d in self.levels]
 
     def attach(self, df: DataFrame) -> DataFrame:
-        """Adds the block a row belongs to; 0 stands for a level that is not cut."""
-        depth = len(self.nodes)
-        rungs = _rungs(df, self.order)[:depth]
-        out = df.select("*", *[r.alias(n) for r, n in zip(rungs, _names(depth))])
-        for d in range(depth):
-            flagged = self.nodes[d].select("*", F.lit(True).alias(f"_cut{d}"))
-            out = _join_nodes(out, flagged, self.sizes[d], self.by, _names(d), "left")
-        parts = [
-            F.when(F.col(f"_cut{d}"), F.col(name)).otherwise(F.lit(0)).alias(block)
-            for d, (name, block) in enumerate(zip(_names(depth), self.columns))
-        ]
-        return out.select(*df.columns, *parts, F.col("_cut0").alias("_cut"))
+        """Adds the block a row belongs to; the lowest value stands for a level that is not cut."""
+        ladder = _ladder(df, self.order)
+        out = df.select("*", *[F.coalesce(*ladder[d]).alias(f"_r{d}") for d in self.levels])
+        for i, d in enumerate(self.levels):
+            upper = [f"_r{u}" for u in self.levels[:i]]
+            flagged = self.nodes[d].select(*self.by, *upper, F.lit(True).alias(f"_cut{d}"))
+            out = _join(out, flagged, self.by, upper, "left")
+        parts = [F.when(F.col(f"_cut{d}"), F.col(f"_r{d}")).otherwise(ladder[d][1]).alias(f"_b{d}") for d in self.levels]
+        return out.select(*df.columns, *parts, F.col(f"_cut{self.levels[0]}").alias("_cut"))
 
 
 def measure_blocks(df: DataFrame, by, order, target_rows: int = TARGET_ROWS) -> Blocks:
@@ -133,16 +146,15 @@ def measure_blocks(df: DataFrame, by, order, target_rows: int = TARGET_ROWS) ->
     if too_long.isEmpty():
         return Blocks(by, order)  # most tables need no cut, and then nothing is written
     if not rungs:
-        raise ValueError(f"a series has more than {target_rows} rows, and {order[0]!r} is no time, "
-                         "date or whole number along which it could be cut")
+        raise ValueError(f"a series has more than {target_rows} rows, and it cannot be cut along {order[0]!r}")
     series = cut(too_long)
     size = series.count()
     nodes, sizes = [series], [size]
     narrow = df.select(*by, *[r.alias(n) for r, n in zip(rungs, _names(len(rungs)))])
-    done, stride = 0, _FIRST_PASS
+    done, stride, splits = 0, _FIRST_PASS, []
     while done < len(rungs) and sizes[-1]:
         upto = min(done + stride, len(rungs))
-        rows = _join_nodes(narrow, nodes[-1], sizes[-1], by, _names(done), "inner")
+        rows = _join(narrow, nodes[-1], by, _names(done))
         counts = rows.groupBy(*by, *_names(upto)).count()
         # Every count adds to its part at each depth; a part of depth d is named by d rungs.
         depth = F.explode(F.sequence(F.lit(done + 1), F.lit(upto)))
@@ -151,16 +163,25 @@ def measure_blocks(df: DataFrame, by, order, target_rows: int = TARGET_ROWS) ->
             *[F.when(F.col("_depth") > i, F.col(n)).alias(n) for i, n in enumerate(_names(upto))]
         ).agg(F.sum("count").alias("n"))
         # Only parts of too long parts can be too long, so the lists stay short.
-        large = cut(parts.where(F.col("n") > target_rows).drop("n"))
-        found = {r["_depth"]: r["count"] for r in large.groupBy("_depth").count().collect()}
+        counted = cut(parts.withColumn("large", F.col("n") > target_rows).drop("n"))
+        large = counted.where("large")
+        found = {r["_depth"]: (r["n"], r["large"]) for r in counted.groupBy("_depth").agg(
+            F.count("*").alias("n"), F.count_if("large").alias("large")).collect()}
+        before = sizes[-1]
         for d in range(done + 1, upto + 1):
+            n, many = found.get(d, (0, 0))
+            splits.append(n != before)
+            before = n
             nodes.append(large.where(F.col("_depth") == d).select(*by, *_names(d)))
-            sizes.append(found.get(d, 0))
-        done, stride = upto, _LATER_PASS
+            sizes.append(many)
+        # a stretch without any split is passed faster
+        stride = _LATER_PASS if any(splits[done:]) else 2 * stride
+        done = upto
     # The deepest list is empty or has no finer rung left: it cuts nothing.
     while nodes and (sizes[-1] == 0 or len(nodes) > len(rungs)):
         nodes.pop(), sizes.pop()
-    return Blocks(by, order, tuple(nodes), tuple(sizes))
+    levels = tuple(d for d in range(len(nodes)) if splits[d])
+    return Blocks(by, order, tuple(nodes), tuple(sizes), levels) if levels else Blocks(by, order)
 
 
 def _borrowed(keyed: DataFrame, by, block, order, reach: int, later: bool) -> DataFrame:
@@ -295,14 +316,14 @@ def newest_spans(df: DataFrame, by, order, n: int, slack: int = 100_000) -> Data
     rungs = _rungs(df, order)
     if not rungs:
         return df
-    names, least = _names(len(rungs)), F.lit(-(2**63))
+    names, least = _names(len(rungs)), _lowest(df, order)
     narrow = df.select(*by, *[r.alias(c) for r, c in zip(rungs, names)])
     # the series whose n-th latest row lies in a span that is still too long, and that span
-    wide, size, finished, done = None, 0, [], 0
+    wide, finished, done = None, [], 0
     while done < len(rungs):
         upto = min(done + (_LATER_PASS if done else _FIRST_PASS), len(rungs))
-        rows = narrow.withColumn("_need", F.lit(n).cast("bigint")) if wide is None else _join_nodes(
-            narrow, wide.select(*by, *names[:done], "_need"), size, by, names[:done], "inner")
+        rows = narrow.withColumn("_need", F.lit(n).cast("bigint")) if wide is None else _join(
+            narrow, wide.select(*by, *names[:done], "_need"), by, names[:done])
         spans = rows.groupBy(*by, *names[:upto]).agg(F.count("*").alias("_n"), F.max("_need").alias("_need"))
         newer = Window.partitionBy(*by).orderBy(*[F.col(c).desc() for c in names[:upto]])
         sofar = F.sum("_n").over(newer.rowsBetween(Window.unboundedPreceding, 0))
@@ -312,14 +333,13 @@ def newest_spans(df: DataFrame, by, order, n: int, slack: int = 100_000) -> Data
         edge = cut(edge.select(*by, *names[:upto], "_n", "_need"), "edges")
         more = (F.col("_n") > F.col("_need") + slack) & F.lit(upto < len(rungs))
         finished.append(edge.where(~more).select(
-            *by, *[F.col(c).alias(f"_from{i}") if i < upto else least.alias(f"_from{i}")
+            *by, *[F.col(c).alias(f"_from{i}") if i < upto else least[i].alias(f"_from{i}")
                    for i, c in enumerate(names)]))
         wide, done = edge.where(more), upto
-        size = wide.count()
-        if not size:
+        if wide.isEmpty():
             break
     starts = reduce(DataFrame.unionByName, finished)
     keyed = df.select("*", F.struct(*[r.alias(c) for r, c in zip(rungs, names)]).alias("_at"))
     starts = starts.select(*by, F.struct(*[F.col(f"_from{i}").alias(c) for i, c in enumerate(names)]).alias("_from"))
-    joined = _join_nodes(keyed, starts, starts.count(), by, [], "left")
+    joined = _join(keyed, starts, by, [], "left")
     return joined.where(F.col("_from").isNull() | (F.col("_at") >= F.col("_from"))).select(*df.columns)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from barwright.operators import fill_gaps, price_alerts
+from barwright.operators import fill_gaps, last_n_bars, price_alerts
 from barwright.plans.blocks import TARGET_ROWS, as_series, measure_blocks, numbered
 
 
@@ -50,6 +50,36 @@ def test_cut_windows_see_the_same_rows(spark, kind, back, ahead, tied):
     assert neighbours(df, by, order, back, ahead, blocks) == whole
 
 
+@pytest.mark.parametrize("key", [
+    "date_format(ts, 'yyyy-MM-dd HH:mm:ss.SSSSSS')", "substring(md5(string(id)), 1, 3)", "concat(repeat('same beginning ', 30), id % 7)",
+    "if(id % 9 = 0, null, (id % 50 - 25) / 7D)", "cast(id % 4 as decimal(10,2))"])
+def test_other_sort_keys(spark, key):
+    df = bursts(spark).withColumn("at", F.expr(key))
+    by, order = ("symbol",), ("at", "id")
+    blocks = measure_blocks(df, by, order, target_rows=60)
+    assert blocks.sizes[0] == 3
+    assert blocks.attach(df).groupBy("symbol", *blocks.columns).count().agg(F.max("count")).first()[0] <= 60
+    assert neighbours(df, by, order, 4, 2, blocks) == neighbours(df, by, order, 4, 2, None)
+    got = numbered(df, by, order, blocks=blocks)
+    assert sorted(map(str, got.collect())) == sorted(map(str, numbered(df, by, order).collect()))
+    latest = last_n_bars(df, 70, by=by, order=order)
+    want = df.withColumn("n", F.row_number().over(Window.partitionBy("symbol").orderBy(F.desc("at"), F.desc("id")))).where("n <= 70").drop("n")
+    assert sorted(map(str, latest.collect())) == sorted(map(str, want.collect()))
+
+
+def test_lists_too_long_to_send(spark):
+    """Lists of cuts that are joined by shuffle, as they are beyond the session's bound, cut the same way."""
+    df, by, order = bursts(spark), ("symbol",), ("ts", "id")
+    blocks = measure_blocks(df, by, order, target_rows=60)
+    want = neighbours(df, by, order, 3, 1, blocks)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert neighbours(df, by, order, 3, 1, measure_blocks(df, by, order, target_rows=60)) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_blocks_shorter_than_the_reach(spark):
     df = spark.range(200).selectExpr(
         "'A' as symbol", "timestamp_seconds(id * 86400 * 2) as ts", "id", "double(id) as x")
