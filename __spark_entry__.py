@@ -20,7 +20,7 @@ from barwright.functions import (
 )
 from barwright.plans.blocks import measure_blocks, numbered
 from barwright.plans.durable import cut, scratch_path
-from barwright.plans.jobs import bronze_to_silver, silver_to_gold
+from barwright.plans.jobs import bronze_to_silver, silver_to_gold, update_gold
 from barwright.schema import (
     BAR_COLUMNS, EMA_PERIODS, MACD_PERIODS, RSI_PERIODS, SMA_PERIODS, UNDATED_TEXT_SCHEMA,
 )
@@ -28,7 +28,9 @@ from barwright.sinks import register_tables, write_partitioned
 from barwright.sources import (
     count_files, decode_messages, read_bars_csv, read_bars_parquet, stream_files, typed_bars,
 )
-from barwright.streaming import start_ingest, start_price_alerts, stream_bars
+from barwright.streaming import (
+    ordered_alerts, read_live_bars, start_ingest, start_live_bars, start_price_alerts, stream_bars,
+)
 
 
 def _optional(name: str):
@@ -102,7 +104,7 @@ def _bars(source, interval, **options):
 
 
 def rebar_daily(spark, sf_dir):
-    return ops.rebar(_hourly(spark, sf_dir), "1D")
+    return ops.rebar(_hourly(spark, sf_dir), "1D", source="1H")
 
 
 def row_numbers(spark, sf_dir):
@@ -464,6 +466,58 @@ def ingest_stream(spark, sf_dir):
     return spark.read.parquet(f"{path}/out")
 
 
+def _shuffled_stream(spark, sf_dir) -> DataFrame:
+    """All events as a stream of files, in each of which times of some minutes stand in no order and reach into the next file."""
+    path, events = scratch_path(spark, "events"), _table(spark, sf_dir, "events")
+    first = events.agg(F.min("ts")).head()[0]
+    minutes = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lit(first).cast("timestamp"))) / 60_000_000)
+    late = F.pmod(F.xxhash64("event_id"), F.lit(240))
+    part = F.floor((minutes + late) / (8 * 1440))
+    (events.withColumn("part", part).repartition("part").sortWithinPartitions("part", F.xxhash64("event_id"))
+     .write.partitionBy("part").parquet(path))
+    for number in sorted(r["part"] for r in spark.read.parquet(path).select("part").distinct().collect()):
+        spark.read.schema(events.schema).parquet(f"{path}/part={number}").coalesce(1).write.mode("append").parquet(f"{path}-files")
+    return stream_files(spark, f"{path}-files", events.schema, files_per_batch=1)
+
+
+def price_alerts_ordered(spark, sf_dir):
+    """Times up to four hours late, across micro-batches; the watermark waits for them."""
+    path = scratch_path(spark, "alerts")
+    ticks = _shuffled_stream(spark, sf_dir).select(F.col("event_type").alias("symbol"), "ts", "event_id", F.col("value").alias("price"))
+    _finish(start_ingest(ordered_alerts(ticks, ALERT_THRESHOLD, delay="5 hours"), f"{path}/out", f"{path}/checkpoint"))
+    found = spark.read.parquet(f"{path}/out")
+    return found.withColumn("ts", F.col("ts").cast("timestamp_ntz")).withColumn("change", F.round("change", 9))
+
+
+def bars_live(spark, sf_dir):
+    path = scratch_path(spark, "bars")
+    ticks = _shuffled_stream(spark, sf_dir).select(
+        F.col("event_type").alias("symbol"), "ts", "event_id", F.round(F.col("value") * 100).alias("price"))
+    _finish(start_live_bars(ticks, "1H", f"{path}/out", f"{path}/checkpoint"))
+    return read_live_bars(spark, f"{path}/out")
+
+
+def gap_fill_week(spark, sf_dir):
+    """Daily bars, of which every ninth close is missing, filled from seven days on either side."""
+    day = F.datediff("datetime", F.lit("1970-01-01").cast("date"))
+    bars = _daily(spark, sf_dir).withColumn("close", F.when(day % 9 != 0, F.col("close")))
+    return ops.fill_gaps_within(bars, ["close"], days=7).withColumn("close", F.round("close", 6))
+
+
+def update_gold_job(spark, sf_dir):
+    """Gold of all years but the last months of one, then of all: only the partitions concerned are computed anew."""
+    silver, gold, ledger = (scratch_path(spark, n) for n in ("silver", "gold", "ledger"))
+    bars = cut(ops.dated(_daily(spark, sf_dir)).withColumn("coin", F.substring("symbol", 1, 1)), "bars")
+    write_partitioned(bars.where(~((F.col("year") == 1997) & (F.month("datetime") > 9))), silver)
+    update_gold(spark, silver, gold, ledger)
+    write_partitioned(bars.where("year = 1997"), silver, replace="present")
+    n_written = update_gold(spark, silver, gold, ledger)
+    stored = read_bars_parquet(spark, gold)
+    return stored.groupBy(F.col("coin").cast("string").alias("coin"), "year").agg(
+        F.count("*").alias("n_rows"), F.round(F.sum("SMA_50_close"), 3).alias("sum_average")).withColumn(
+        "n_written", F.lit(n_written).cast("bigint"))
+
+
 # Query names of the thirteen bar widths.
 TICK_BARS = {
     "bars_1m": "1", "bars_3m": "3", "bars_5m": "5", "bars_15m": "15", "bars_30m": "30",
@@ -491,6 +545,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         bars_stream, ingest_stream, bars_gappy, price_alerts_gappy, gap_fill_default,
         missing_profile_by_symbol, bronze_to_silver_job, silver_to_gold_job, replace_partition,
         ema_recursive, ema_recursive_cut, rsi_wilder, row_numbers_text_key, last_n_text_key, gap_fill_text_key,
+        price_alerts_ordered, bars_live, gap_fill_week, update_gold_job,
     )
     found = bars | {f.__name__: f for f in others}
     if _documents:
@@ -755,6 +810,18 @@ def oracle_sql() -> dict[str, str]:
     sql["ema_recursive"] = _ema_recursive_sql(_HOURLY, "close", EMA_PERIODS, "datetime")
     sql["ema_recursive_cut"] = _ema_recursive_sql(_GAPPY, "price", (3, 10), "ts, event_id")
     sql["rsi_wilder"] = _rsi_wilder_sql(_HOURLY, RSI_PERIODS)
+    sql["price_alerts_ordered"] = (
+        f"SELECT * REPLACE (round(change, 9) AS change) FROM ({_ALERTS}) WHERE ts <= (SELECT max(ts) - INTERVAL 5 HOUR FROM events)")
+    sql["bars_live"] = _HOURLY
+    sql["gap_fill_week"] = (
+        "SELECT * REPLACE (round(coalesce(close, avg(close) OVER (PARTITION BY symbol ORDER BY datetime RANGE BETWEEN "
+        f"INTERVAL 7 DAY PRECEDING AND INTERVAL 7 DAY FOLLOWING)), 6) AS close) FROM (SELECT * REPLACE (CASE WHEN {day} % 9 <> 0 "
+        f"THEN close END AS close) FROM ({_DAILY}))")
+    sql["update_gold_job"] = (
+        "SELECT substring(symbol, 1, 1) AS coin, year, count(*) AS n_rows, round(sum(average), 3) AS sum_average, "
+        "(SELECT count(DISTINCT symbol) FROM (" + _DAILY + ") WHERE year = 1997) AS n_written FROM (SELECT *, avg(close) OVER "
+        "(PARTITION BY symbol, year ORDER BY datetime ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS average "
+        f"FROM ({_DAILY})) GROUP BY 1, 2")
     text = "* REPLACE (strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts)"
     sql["row_numbers_text_key"] = f"SELECT {text} FROM ({row_numbers_sql})"
     sql["last_n_text_key"] = f"SELECT {text} FROM ({sql['last_n_ticks']})"

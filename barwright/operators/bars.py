@@ -31,6 +31,36 @@ def bars(df: DataFrame, interval: str, *, price="price", volume=None, ts="ts", b
     )
 
 
+def bar_states(df: DataFrame, interval: str, *, price="price", volume=None, ts="ts", by=("symbol",),
+               order=None) -> DataFrame:
+    """Bars that can still be merged with others of the same interval: `opened` and `closed` say where in `order` the
+    first and last price stand. The parameters are those of `bars`."""
+    start = bar_start(ts, interval, df.schema[ts].dataType.simpleString())
+    traded = F.count("*") if volume is None else F.sum(volume)
+    kept = dict.fromkeys([*by, *([] if volume is None else [volume])])
+    rank = sort_rank(df, order or (ts,))
+    ticks = df.where(F.col(ts).isNotNull()).select(
+        *kept, without_nan(number(price)).alias("_price"), start.alias("datetime"), rank.alias("_rank"))
+    return ticks.where(F.col("_price").isNotNull()).groupBy(*by, "datetime").agg(
+        F.min_by("_price", "_rank").alias("open"), F.min("_rank").alias("opened"),
+        F.max("_price").alias("high"), F.min("_price").alias("low"),
+        F.max_by("_price", "_rank").alias("close"), F.max("_rank").alias("closed"),
+        traded.cast("double").alias("volume"))
+
+
+def merged_states(states: DataFrame, by=("symbol",)) -> DataFrame:
+    """One state of each bar from those of parts of its ticks, in whichever order they were seen."""
+    return states.groupBy(*by, "datetime").agg(
+        F.min_by("open", "opened").alias("open"), F.min("opened").alias("opened"), F.max("high").alias("high"),
+        F.min("low").alias("low"), F.max_by("close", "closed").alias("close"), F.max("closed").alias("closed"),
+        F.sum("volume").alias("volume"))
+
+
+def finished_bars(states: DataFrame, by=("symbol",)) -> DataFrame:
+    """The bars of states that may belong together."""
+    return merged_states(states, by).drop("opened", "closed")
+
+
 def rebar(df: DataFrame, interval: str, *, by=("symbol",), source: str | None = None) -> DataFrame:
     """Wider bars from narrower ones; bars without a time are left out.
 

@@ -1,12 +1,16 @@
 """Registering partitioned datasets as tables."""
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 
 from ..schema import TABLE_PREFIX
 
+THREADS = 8
+
 
 def _quoted(*parts: str) -> str:
     return ".".join("`" + p.replace("`", "``") + "`" for p in parts)
@@ -25,20 +29,20 @@ def table_name(coin: str, prefix: str = TABLE_PREFIX) -> str:
     return prefix.lower() + re.sub("[^a-z0-9_]", "_", unquote(coin).lower())
 
 
-def _column(spark: SparkSession, field) -> str:
-    """A column definition with its whole type; the short form of a type leaves fields out."""
-    from pyspark.sql import types as T
-
-    return spark.createDataFrame([], T.StructType([field]))._jdf.schema().toDDL()
+def _ddl(spark: SparkSession, fields) -> str:
+    """Column definitions with their whole types; the short form of a type leaves fields out."""
+    return spark.createDataFrame([], T.StructType(list(fields)))._jdf.schema().toDDL()
 
 
 def register_tables(spark: SparkSession, path: str, database: str,
-                    prefix: str = TABLE_PREFIX) -> list[str]:
+                    prefix: str = TABLE_PREFIX, threads: int = THREADS) -> list[str]:
     """One external table `<prefix><coin>` per coin folder below `path`; returns their names.
 
-    Creates what is missing, finds new partitions, adds new columns to known tables, and marks
-    tables whose folder is gone with the property `deprecated`. Runs catalog commands; the only
-    data read are file footers. Coins whose table names would be the same are refused.
+    Creates what is missing, finds new partitions, adds new columns to known tables, makes tables anew in which a column has
+    another type than in the files (their data are the files', and stay), and marks
+    tables whose folder is gone with the property `deprecated`. All tables have the columns of the whole tree: one job reads the
+    footers of all files in its tasks, however many coins there are. A column with types in different files that cannot be one is an error
+    that names it. Coins whose table names would be the same are refused. Catalog commands run in `threads` threads.
     """
     folders: dict[str, str] = {}
     for coin in _coins(spark, path):
@@ -48,27 +52,38 @@ def register_tables(spark: SparkSession, path: str, database: str,
         folders[name] = coin
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}")
     known = {t.name for t in spark.catalog.listTables(database)}
-    tables = []
-    for name, coin in folders.items():
+    fields = spark.read.option("mergeSchema", True).parquet(path).schema.fields if folders else []
+    # partition columns stand last, the coin's folder first among them
+    place = next((i for i, f in enumerate(fields) if f.name == "coin"), len(fields))
+    columns, partitions = fields[:place], fields[place + 1:]
+
+    def register(name: str, coin: str) -> None:
         table, folder = _quoted(database, name), f"{path.rstrip('/')}/coin={coin}"
-        if name not in known:
+        present = {}
+        if name in known:
+            present = {f.name.lower(): f.dataType for f in spark.table(f"{database}.{_quoted(name)}").schema.fields}
+            changed = [f.name for f in fields if f.name.lower() in present and present[f.name.lower()] != f.dataType]
+            if changed:
+                spark.sql(f"DROP TABLE {table}")
+                present = {}
+        if not present:
             location = folder.replace("\\", "\\\\").replace("'", "\\'")
-            spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{location}'")
+            by = f"PARTITIONED BY ({', '.join(_quoted(f.name) for f in partitions)})" if partitions else ""
+            spark.sql(f"CREATE TABLE {table} ({_ddl(spark, columns + partitions)}) USING parquet {by} LOCATION '{location}'")
         else:
             spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('deprecated')")
-        # Files of one folder may differ; creation looks at one of them only.
-        found = spark.read.option("mergeSchema", True).parquet(folder).schema
-        columns = spark.catalog.listColumns(f"{database}.{name}")
-        present = {c.name.lower() for c in columns}
-        new = [_column(spark, f) for f in found.fields
-               if f.name.lower() not in present]
-        if new:
-            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(new)})")
-        if any(c.isPartition for c in columns):
+            new = [f for f in columns if f.name.lower() not in present]
+            if new:
+                spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({_ddl(spark, new)})")
+        if partitions:
             spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
         spark.catalog.refreshTable(f"{database}.{name}")
-        tables.append(name)
-    for name in sorted(n for n in known if n.startswith(prefix.lower()) and n not in tables):
-        spark.sql(f"ALTER TABLE {_quoted(database, name)} "
-                  "SET TBLPROPERTIES ('deprecated' = 'true')")
-    return tables
+
+    def deprecate(name: str) -> None:
+        spark.sql(f"ALTER TABLE {_quoted(database, name)} SET TBLPROPERTIES ('deprecated' = 'true')")
+
+    gone = sorted(n for n in known if n.startswith(prefix.lower()) and n not in folders)
+    with ThreadPoolExecutor(threads) as pool:
+        list(pool.map(register, folders, folders.values()))
+        list(pool.map(deprecate, gone))
+    return list(folders)

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions import sort_rank
+from ..functions import number, sort_rank
 from ..operators.alerts import price_alerts
 from ..plans.blocks import TARGET_ROWS, measure_blocks
 from ..plans.durable import cut, dropped, removed
@@ -48,17 +48,16 @@ def start_price_alerts(stream: DataFrame, threshold: float, out: str, state: str
 
     def write(ticks: DataFrame, batch: int) -> None:
         spark = ticks.sparkSession
-        # Written once, since it is read several times and may not fit into memory.
-        ticks = cut(ticks, "ticks")
-        carried = spark.read.parquet(f"{state}/batch={batch - 1}") if batch else None
-        known = ticks.select(*by, *dict.fromkeys([*order, price]))
-        known = known if carried is None else known.unionByName(carried)
         with dropped(spark):
+            # Written once, since it is read several times and may not fit into memory.
+            ticks = cut(ticks, "ticks")
+            carried = spark.read.parquet(f"{state}/batch={batch - 1}") if batch else None
+            known = ticks.select(*by, *dict.fromkeys([*order, price]))
+            known = known if carried is None else known.unionByName(carried)
             alerts_after(ticks, carried, threshold, price=price, by=by, order=order) \
                 .write.mode("overwrite").parquet(f"{out}/batch={batch}")
-        latest_ticks(known, by, order, price) \
-            .write.mode("overwrite").parquet(f"{state}/batch={batch}")
-        removed(spark, *[p.rsplit("/", 1)[0] for p in ticks.inputFiles()[:1]])
+            latest_ticks(known, by, order, price) \
+                .write.mode("overwrite").parquet(f"{state}/batch={batch}")
         if batch > 1:
             removed(spark, f"{state}/batch={batch - 2}")
 
@@ -66,3 +65,52 @@ def start_price_alerts(stream: DataFrame, threshold: float, out: str, state: str
         stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True})).start()
     )
+
+
+def ordered_alerts(stream: DataFrame, threshold: float, *, price="price", id="event_id", ts="ts", by="symbol",
+                   delay="10 minutes") -> DataFrame:
+    """Alerts of a tick stream in the order of event times, across micro-batches; a stream.
+
+    Ticks wait in the state of their series until the watermark, `delay` behind the latest time seen, has passed them, and
+    are then compared one after another, ties by `id`; the last one stays as the one to compare with. So ticks may
+    arrive shuffled within `delay`, and the alerts are those of `price_alerts`; later ones are dropped. A series holds only its ticks of
+    the last `delay`. For a series that one task cannot follow `start_price_alerts` cuts each batch instead.
+    """
+    rows = (stream.select(F.col(by).cast("string").alias("symbol"), F.col(ts).cast("timestamp").alias("ts"),
+                          F.col(id).cast("bigint").alias("id"), number(price).alias("price"))
+            .where("ts is not null").withWatermark("ts", delay))
+    found = rows.groupBy("symbol").applyInPandasWithState(
+        _in_order(threshold), "symbol string, ts timestamp, id bigint, price double, previous double, change double",
+        "at array<bigint>, id array<bigint>, price array<double>, last double", "append", "EventTimeTimeout")
+    return found.select(F.col("symbol").alias(by), F.col("ts").alias(ts), F.col("id").alias(id), F.col("price").alias(price), "previous", "change")
+
+
+def _in_order(threshold: float):
+    import numpy as np
+    import pandas as pd
+
+    def alerts(key, batches, state):
+        held, ids, prices, last = state.get if state.exists else ([], [], [], None)
+        held, ids, prices = (np.array(x, t) for x, t in ((held, np.int64), (ids, np.int64), (prices, float)))
+        for pdf in batches:
+            held = np.r_[held, pdf["ts"].astype("datetime64[us]").astype("int64").to_numpy()]
+            ids = np.r_[ids, pdf["id"].fillna(-(2**63)).to_numpy(np.int64)]
+            prices = np.r_[prices, pdf["price"].to_numpy(float)]
+        order = np.lexsort([ids, held])
+        held, ids, prices = held[order], ids[order], prices[order]
+        mark = state.getCurrentWatermarkMs() * 1000
+        ready = int(np.searchsorted(held, mark, side="right")) if mark > 0 else 0
+        if ready:
+            before = np.r_[np.nan if last is None else last, prices[:ready - 1]]
+            with np.errstate(all="ignore"):
+                change = np.where(before == 0, np.nan, prices[:ready] / before - 1)
+            hit = np.abs(change) >= threshold
+            yield pd.DataFrame({"symbol": key[0], "ts": pd.to_datetime(held[:ready][hit], unit="us"), "id": ids[:ready][hit],
+                                "price": prices[:ready][hit], "previous": before[hit], "change": change[hit]})
+            last = None if np.isnan(prices[ready - 1]) else float(prices[ready - 1])
+        state.update((held[ready:].tolist(), ids[ready:].tolist(), prices[ready:].tolist(), last))
+        if ready < len(held):
+            # wakes once the watermark has passed the earliest tick that waits
+            state.setTimeoutTimestamp(max(int(held[ready]) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+
+    return alerts

@@ -95,3 +95,22 @@ def test_undated_rows_have_no_year(spark):
     assert [r["id"] for r in ops.undated(df).collect()] == [2]
     assert [r["year"] for r in ops.years(df).collect()] == [2021]
     assert ops.of_year(ops.dated(df), 2020).count() == 0
+
+
+def test_fill_by_time(spark):
+    import random
+
+    rng = random.Random(5)
+    rows = [("A" if i % 5 else None, rng.choice([None, 0, 1, 2, 30, 31, 700]) , None if i % 3 == 0 else float(i), i) for i in range(300)]
+    rows = [(s, None if d is None else d + rng.random() * 6, x, i) for s, d, x, i in rows]
+    df = spark.createDataFrame(rows, "symbol string, at double, x double, id long").withColumn(
+        "datetime", F.expr("timestamp'2024-01-01' + make_dt_interval(0, 0, 0, at * 86400)"))
+    for chunk in (1, 32):
+        got = {r["id"]: r["x"] for r in ops.fill_gaps_within(df, ["x"], days=1.5, spans_a_chunk=chunk).collect()}
+        assert len(got) == 300
+        exact = {r["id"]: r["m"] for r in df.select("id", F.expr("unix_micros(datetime)").alias("m")).collect()}
+        for s, d, x, i in rows:
+            near = [y for t, e, y, j in rows if t == s and e is not None and d is not None and y is not None
+                    and abs(exact[i] - exact[j]) <= 1.5 * 86400e6]
+            want = x if x is not None else sum(near) / len(near) if near else None
+            assert got[i] == want if want is None else abs(got[i] - want) < 1e-9

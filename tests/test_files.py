@@ -213,3 +213,40 @@ def test_tables_follow_their_folders(spark, tmp_path):
     properties = {r["key"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
     assert "deprecated" not in properties
     spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def test_widened_columns_and_many_coins(spark, tmp_path):
+    path, database = str(tmp_path / "gold"), "bars_widened_test"
+    rows = spark.range(60).selectExpr("concat('c', id % 20) as coin", "cast(2020 + id % 3 as int) as year", "cast(id as int) as n")
+    write_partitioned(rows, path)
+    assert len(register_tables(spark, path, database)) == 20
+    write_partitioned(rows.withColumn("n", F.col("n") + F.lit(2**40)), path)
+    register_tables(spark, path, database)
+    table = spark.table(f"{database}.trade_data_c3")
+    assert table.schema["n"].dataType.simpleString() == "bigint" and table.agg(F.min("n")).first()[0] == 2**40 + 3
+    write_partitioned(rows.where("year = 2020").withColumn("n", F.lit("text")), path, replace="present")
+    with pytest.raises(Exception, match="(?i)merge"):
+        register_tables(spark, path, database)
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def test_only_changed_partitions_are_updated(spark, tmp_path):
+    from barwright.plans.jobs import update_gold
+
+    silver, gold, ledger, full = (str(tmp_path / n) for n in ("silver", "gold", "ledger", "full"))
+    bars = ops.dated(daily(spark, 800))
+    write_partitioned(bars, silver)
+    assert update_gold(spark, silver, gold, ledger) == 6 and update_gold(spark, silver, gold, ledger) == 0
+    times = {f: os.stat(f).st_mtime_ns for f in (os.path.join(d, n) for d, _, names in os.walk(gold) for n in names if n.endswith(".parquet"))}
+    later = bars.where("coin = 'btc' and year = 2022").unionByName(bars.where("coin = 'btc' and year = 2022").limit(1).withColumn(
+        "datetime", F.expr("timestamp'2022-12-31 12:00:00'")))
+    write_partitioned(later, silver, replace="present")
+    import shutil
+    shutil.rmtree(silver + "/coin=eth/year=2023")
+    spark.catalog.refreshByPath(silver)
+    assert update_gold(spark, silver, gold, ledger) == 2
+    after = {f: os.stat(f).st_mtime_ns for f in (os.path.join(d, n) for d, _, names in os.walk(gold) for n in names if n.endswith(".parquet"))}
+    assert {os.path.dirname(f) for f in times if after.get(f) != times[f]} == {f"{gold}/coin=btc/year=2022", f"{gold}/coin=eth/year=2023"}
+    silver_to_gold(spark, silver, full)
+    one, two = (sorted(map(str, read_bars_parquet(spark, p).select(sorted(read_bars_parquet(spark, full).columns)).collect())) for p in (gold, full))
+    assert one == two

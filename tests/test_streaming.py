@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from barwright.operators import bars, price_alerts
 from barwright.sources import stream_files
-from barwright.streaming import start_ingest, start_price_alerts, stream_bars
+from barwright.streaming import (
+    compact_live_bars, ordered_alerts, read_live_bars, start_ingest, start_live_bars, start_price_alerts, stream_bars,
+)
 
 
 def tick_files(spark, path, parts=4, rows=2000):
@@ -75,3 +77,43 @@ def test_ingestion_writes_each_row_once(spark, tmp_path):
             .awaitTermination()
     got = spark.read.parquet(out).select(df.columns)
     assert sorted(map(str, got.collect())) == sorted(map(str, df.collect()))
+
+
+def shuffled_files(spark, path, minutes, parts=4, rows=1500):
+    """Ticks in files, each tick up to `minutes` late, also across files."""
+    df = spark.range(rows).select(
+        F.expr("if(id % 3 = 0, 'A', if(id % 7 = 0, null, 'B'))").alias("symbol"), "id",
+        F.expr("timestamp'2024-01-01' + make_dt_interval(0, 0, 0, (id div 2) * 97)").alias("ts"),
+        F.when(F.pmod(F.hash("id"), F.lit(13)) != 0, (F.pmod(F.hash("id"), F.lit(100)) + F.when(F.col("id") % 50 != 0, 1).otherwise(0)).cast("double")).alias("price"))
+    length = rows // 2 * 97 // parts + 1
+    part = F.floor((F.unix_seconds("ts") - F.unix_seconds(F.lit("2024-01-01").cast("timestamp")) + F.pmod(F.xxhash64("id"), F.lit(minutes * 60))) / length)
+    for i in range(parts + 3):
+        df.where(part == i).coalesce(1).orderBy(F.xxhash64("id")).write.mode("append").parquet(path)
+    return df
+
+
+def test_shuffled_ticks_raise_the_alerts_of_the_batch(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    df = shuffled_files(spark, source, 60)
+    stream = ordered_alerts(stream_files(spark, source, df.schema, files_per_batch=1), 0.8, id="id", delay="61 minutes")
+    start_ingest(stream, out, str(tmp_path / "checkpoint")).awaitTermination()
+    last = df.agg(F.max("ts")).first()[0] - dt.timedelta(minutes=61)
+    want = price_alerts(df, 0.8, order=("ts", "id")).where(F.col("ts") <= F.lit(last)).select("symbol", "ts", "id", "price", "previous", "change")
+    got = spark.read.parquet(out)
+    assert want.count() > 100
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_live_bars_take_in_late_ticks(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    df = shuffled_files(spark, source, 600)
+    for _ in range(2):  # the second time there is nothing new
+        stream = stream_files(spark, source, df.schema, files_per_batch=1)
+        start_live_bars(stream, "1H", out, str(tmp_path / "checkpoint"), order=("ts", "id")).awaitTermination()
+    want = sorted(map(str, bars(df, "1H", order=("ts", "id")).collect()))
+    columns = bars(df, "1H").columns
+    assert sorted(map(str, read_live_bars(spark, out).select(columns).collect())) == want
+    compact_live_bars(spark, out)
+    spark.catalog.refreshByPath(out)
+    assert spark.read.parquet(out).select("batch").distinct().count() == 2
+    assert sorted(map(str, read_live_bars(spark, out).select(columns).collect())) == want
