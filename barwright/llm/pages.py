@@ -2,8 +2,9 @@
 
 A page is read into blocks in page order. Parts marked as menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles or reader comments, by element, role, class or id, are
-left out. An element that contains `main`, an article's h1 or all articles of the page is never left out, unless
-it is hidden; teasers and comments in articles of their own are. Marks after has, no or with and those of layouts
+left out. An element that contains `main` or an article's h1 is never left out, unless
+it is hidden; one that contains all articles of the page is kept if they hold more than all other text. Articles marked as comments,
+adverts or teasers are left out beside others. Inside an article only containers are judged, not paragraphs and inline elements. Marks after has, no or with and those of layouts
 (`has-sidebar`) say how the rest is laid out and do not count, nor do headers inside an article. Of what remains, `core` blocks stand in an `article`, or in `main` if there is none.
 
 Pages of a host with the same lines are copies and count as one. These are ordered by URL path, and each is paired with
@@ -50,6 +51,10 @@ _MARKS = frozenset(
     "sponsored subscribe toolbar widget widgets complementary contentinfo dialog alert promotion".split())
 # Words that turn the marks after them in a class into a description of the page.
 _TURNING = frozenset("has no not with without".split())
+# The marks that tell an article beside the main one, and elements that hold a line or a paragraph, whose marks say how
+# it looks. Those count outside of articles only.
+_BESIDE = frozenset("ad ads adv advert adverts advertisement advertising comment comments promo promoted promotion related sponsored teaser".split())
+_PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt a b em i mark q small span strong td th tr".split())
 _MARKED_PAIRS = frozenset([("reader", "comments"), ("user", "comments"), ("site", "info"), ("skip", "link")])
 
 #: Share of the characters of the longer page from which two pages are near copies.
@@ -73,8 +78,9 @@ def _hidden(attrs: str) -> bool:
 
 def _marked(name: str, attrs: str, inside: bool) -> bool:
     """Whether role, class or id say that an element is no main text; `inside` an article headers are."""
-    if name in ("html", "body", "article", "main"):
+    if name in ("html", "body", "main") or inside and name in _PROSE:
         return False
+    marks = _BESIDE if name == "article" else _MARKS
     for key, value in _ATTR.findall(attrs):
         if key.lower() in ("class", "id", "role"):
             for part in value.strip("\"'").split():
@@ -82,7 +88,7 @@ def _marked(name: str, attrs: str, inside: bool) -> bool:
                 if "layout" in words:
                     continue
                 words = words[:next((i for i, w in enumerate(words) if w in _TURNING), len(words))]
-                if any(w in _MARKS and not (inside and w == "header") for w in words) or any(
+                if any(w in marks and not (inside and w == "header") for w in words) or any(
                         p in _MARKED_PAIRS for p in zip(words, words[1:])):
                     return True
     return False
@@ -93,10 +99,15 @@ def blocks_of(page: str) -> list[tuple[str, bool, float]]:
     kept: set[int] = set()
     while True:  # again only where an element was left out that holds the main text
         found, wrong, last = _parsed(page, kept)
-        wrong = wrong or (set() if any(core for _, core, _ in found) else last)
-        if wrong <= kept:
+        if not wrong <= kept:
+            kept |= wrong
+            continue
+        if last <= kept or any(core for _, core, _ in found):
+            return found
+        inside = sum(len(text) for text, core, _ in _parsed(page, kept | last)[0] if core)
+        if inside <= sum(len(text) for text, _, _ in found):  # teasers or comments beside a text without an article
             return found
-        kept |= wrong
+        kept |= last
 
 
 def _parsed(page: str, kept: set[int]) -> tuple[list[tuple[str, bool, float]], set[int], set[int]]:
@@ -118,10 +129,17 @@ def _parsed(page: str, kept: set[int]) -> tuple[list[tuple[str, bool, float]], s
         parts.clear()
         linked[0] = 0
 
+    # where elements of each name are open, and those that are blocks; so that an end tag need not look through all
+    opened: dict[str, list[int]] = {}
+    open_blocks: list[int] = []
+
     def close(depth):
         nonlocal out, articles, mains, links
         while len(stack) > depth:
             name, left, _ = stack.pop()
+            opened[name].pop()
+            if name in _BLOCKS:
+                open_blocks.pop()
             out -= left
             articles -= name == "article"
             mains -= name == "main"
@@ -145,14 +163,13 @@ def _parsed(page: str, kept: set[int]) -> tuple[list[tuple[str, bool, float]], s
         elif name == "br" or name in ("td", "th"):
             parts.append(" ")
         if token["end"]:
-            depth = next((d for d in range(len(stack) - 1, -1, -1) if stack[d][0] == name), None)
+            depth = opened[name][-1] if opened.get(name) else None
             # inline elements do not close the block around them
-            if depth is not None and (name in _BLOCKS or name in _LEFT_OUT
-                                      or not any(n in _BLOCKS for n, _, _ in stack[depth + 1:])):
+            if depth is not None and (name in _BLOCKS or name in _LEFT_OUT or not open_blocks or open_blocks[-1] <= depth):
                 close(depth)
         elif name not in _VOID and not token["attrs"].rstrip().endswith("/"):
             if name in _BLOCKS and stack:  # what a new block ends by itself
-                depth = next((d for d in range(len(stack) - 1, -1, -1) if stack[d][0] in _BLOCKS), None)
+                depth = open_blocks[-1] if open_blocks else None
                 if depth is not None and (stack[depth][0] == "p" or stack[depth][0] == name == "li"
                                           or stack[depth][0] in ("dt", "dd") and name in ("dt", "dd")):
                     close(depth)
@@ -163,6 +180,11 @@ def _parsed(page: str, kept: set[int]) -> tuple[list[tuple[str, bool, float]], s
                 places = {place for _, gone, place in stack if gone}
                 if -1 not in places:  # nothing around it is hidden
                     (last if name == "article" else wrong).update(places)
+            if name == "article" and left and not hidden and not out:
+                last.add(token.start())
+            opened.setdefault(name, []).append(len(stack))
+            if name in _BLOCKS:
+                open_blocks.append(len(stack))
             stack.append((name, left, -1 if hidden else token.start()))
             out += left
             articles += name == "article"

@@ -87,6 +87,34 @@ def test_headers_of_the_article_stay_and_other_articles_go():
     assert read('<div class="ad"><p>no</p></div><div class="modal" hidden><article><h1>no</h1></article></div><p>x</p>') == ["x"]
 
 
+STORY = "A story of some length that is the main text of this page, told in two sentences. This is the other one."
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<div class=content>{STORY}</div><aside><article>Teaser</article></aside>", STORY),
+    (f"<div id=post>{STORY}</div><section id=comments><article class=comment>{STORY} {STORY}</article></section>", STORY),
+    (f"<main><article>{STORY}</article><article class='comment'>No!</article><article class=advert>Buy</article></main>", STORY),
+    (f"<article><p class='share-price'>{STORY}</p><p class=alert>Now</p><span id='search-results'>so</span><div class=ad>Buy</div></article>",
+     STORY + "\n\nNow\n\nso"),
+    (f"<div class=sidebar><article>{STORY}</article></div><p>Short.</p>", STORY),
+    (f"<article class=comment>{STORY}</article><p>Short.</p>", STORY)])
+def test_articles_beside_the_main_text(page, want):
+    assert "\n\n".join(t for t, core, _ in pages.blocks_of(page) if core or not any(c for _, c, _ in pages.blocks_of(page))) == want
+
+
+def test_mismatched_tags_take_linear_time():
+    import time
+
+    start = time.perf_counter()
+    assert pages.blocks_of("<article>" + "<b>" * 100_000 + "text" + "</i>" * 100_000) == [("text", True, 0.0)]
+    assert pages.blocks_of("<i>" + "<p>" * 50_000 + "x" + "</i>" * 50_000)[-1][0] == "x"
+    assert time.perf_counter() - start < 5
+
+
+def test_no_pages(spark):
+    assert pages.main_text(spark.createDataFrame([], "page_id bigint, url string, html string")).collect() == []
+
+
 def test_common_lines_equal_dynamic_programming():
     import random
 
