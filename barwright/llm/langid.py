@@ -30,13 +30,14 @@ MARGIN = 0.2
 EXHAUSTIVE = 6
 UNKNOWN = "und"
 
+_LETTER = regex.compile(r"\p{L}")
 _NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
 
 
 def grams(text: str) -> np.ndarray:
     """Hashed n-grams, with repeats, of the letters of a text; empty if it has none."""
     letters = _NOT_LETTERS.sub(" ", text.lower()).strip()
-    if not letters:
+    if not _LETTER.search(letters):  # marks alone are no letters
         return np.empty(0, np.int64)
     codes = np.frombuffer(f" {letters} ".encode("utf-32-le"), np.uint32).astype(np.uint64)
     two = (codes[:-1] << np.uint64(21)) | codes[1:]
