@@ -7,14 +7,15 @@ A word counts with the greatest weight of the terms in it; words inside an excep
 not count. The score is logistic in the log of the total weight and in the log of the weight
 per hundred words.
 
-The lexicon is learned from labelled rows: beginnings of words and words are candidates if they
-stand in at least `LEAST_DOCS` texts, at least half of them toxic; among them those are taken, one
-after another, that explain most toxic texts not yet explained, weighted by their log odds. Two
+The lexicon is learned from labelled rows: words, beginnings of words and beginnings that two different words of a text
+share are candidates if they stand in at least `LEAST_DOCS` texts, at least half of them toxic (the `CANDIDATES` in most toxic texts,
+if there are more); among them those are taken, one
+after another, that explain most toxic texts not yet explained, and those with much evidence of their own; all weighted by their log odds. Two
 words in a row that hold a term and stand only in texts that are not toxic become exceptions.
 At most `TRAIN_ROWS` labelled rows are used, those with the least hash of their id.
 
 Nulls: a null text is empty, and an empty text has the score of a text without terms; rows
-without a label are not learned from. Without any toxic row the lexicon is empty, and scores
+without a label are not learned from. An id with several labels is toxic if one of them says so. Without any toxic row the lexicon is empty, and scores
 are the smoothed share of toxic rows. Repeated rows and ids are kept; other columns are ignored.
 """
 
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -36,6 +38,8 @@ from .common import fold_of, small_batches, texts
 TRAIN_ROWS = 20_000
 LEAST_DOCS = 4
 LEAST_PRECISION = 0.5
+#: Of toxic texts that hold a term, and of texts that hold it that are toxic, from which it is in the lexicon in any case.
+SUPPORT, PRECISE = 0.05, 0.9
 PREFIXES = (4, 5, 6, 7)
 CANDIDATES = 20_000
 THRESHOLD = 0.7
@@ -52,6 +56,9 @@ HOMOGLYPHS = str.maketrans({
 SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s",
                "!": "i"}
 
+#: Ends a term that counts only where two different words of a text begin with it.
+TWICE = "*"
+
 _MARKS = re.compile("[̀-ͯ]+")
 _LOOKALIKE = re.compile("[ıɡͰ-ϿЀ-ԯ]")
 _STANDING = re.compile(r"(?<=[^\W\d_])[013457@$!8](?=[^\W\d_])|(?<!\w)[013457@$8](?=[^\W\d_]{2})"
@@ -71,10 +78,12 @@ def folded(text: str) -> str:
 
 
 def terms_of(words: set[str]) -> set[str]:
-    """Words end with a space, beginnings of words do not."""
+    """Words end with a space, beginnings of words do not; with TWICE, those that two different words begin with."""
     found = {word + " " for word in words}
     for n in PREFIXES:
-        found.update(word[:n] for word in words if len(word) > n)
+        times = Counter(word[:n] for word in words if len(word) > n)
+        found.update(times)
+        found.update(term + TWICE for term, many in times.items() if many > 1)
     return found
 
 
@@ -87,8 +96,12 @@ class Lexicon:
 
     def __post_init__(self):
         self.terms, self.phrases = ahocorasick.Automaton(), ahocorasick.Automaton()
+        pairs: dict[str, list[float]] = {}
         for term, weight in self.weights.items():
-            self.terms.add_word(" " + term, (len(term) + 1, weight))
+            plain = term.rstrip(TWICE)
+            pairs.setdefault(plain, [0.0, 0.0])[plain != term] = weight
+        for term, (weight, twice) in pairs.items():
+            self.terms.add_word(" " + term, (len(term) + 1, weight, twice))
         for phrase in self.exceptions:
             inner = folded(phrase)
             self.phrases.add_word(inner, len(inner))
@@ -105,10 +118,18 @@ class Lexicon:
     def hits(self, text: str) -> dict[int, float]:
         """Of a folded text: where words with a term begin, and their weight."""
         found: dict[int, float] = {}
+        begun: dict[int, list[tuple[int, float]]] = {}
         if self.weights:
-            for end, (length, weight) in self.terms.iter(text):
+            for end, (length, weight, twice) in self.terms.iter(text):
                 start = end + 1 - length
-                found[start] = max(found.get(start, 0.0), weight)
+                if weight:
+                    found[start] = max(found.get(start, 0.0), weight)
+                if twice:
+                    begun.setdefault(text[start + 1:end + 1], []).append((start, twice))
+        for term, places in begun.items():
+            if len({text[start + 1:text.index(" ", start + 1)] for start, _ in places if text[start + 1 + len(term)] != " "}) > 1:
+                for start, twice in places:
+                    found[start] = max(found.get(start, 0.0), twice)
         if found and self.exceptions:
             for end, length in self.phrases.iter(text):
                 for start in [s for s in found if end + 1 - length <= s < end]:
@@ -152,6 +173,21 @@ def _cover(candidates: pd.DataFrame, docs: dict[str, set]) -> dict[str, float]:
     return chosen
 
 
+def _longest(sure: pd.DataFrame) -> dict[str, float]:
+    """Terms without those whose texts are nearly all told by a longer term that begins with them."""
+    rows = sorted(zip(sure["term"], sure["n_toxic"], sure["odds"]))
+    names, out = [term for term, _, _ in rows], {}
+    for term, n, odds in rows:
+        plain, told = term.rstrip(TWICE), False
+        for other, m, _ in rows[bisect_left(names, plain):]:
+            if told or not other.startswith(plain):
+                break
+            told = len(other.rstrip(TWICE)) > len(plain) and m >= PRECISE * n
+        if not told:
+            out[term] = float(odds)
+    return out
+
+
 def learn(labelled: DataFrame, exceptions: list[str] = (), text: str = "text",
           toxic: str = "toxic") -> Lexicon:
     """A lexicon from at most TRAIN_ROWS rows of text and label; runs three jobs over those."""
@@ -182,16 +218,15 @@ def learn(labelled: DataFrame, exceptions: list[str] = (), text: str = "text",
                       - np.log((counts["n_clean"] + 0.5) / (n_clean + 1)))
     # a term must be so much likelier in toxic texts that a few copies of one text do not do it
     counts = counts[counts["odds"] > 2]
-    everything = spark.sparkContext.broadcast(Lexicon(dict.fromkeys(counts["term"], 1.0)))
+    everything = spark.sparkContext.broadcast(set(counts["term"]))
 
     def found(batches):
-        automaton = everything.value.terms
+        sought = everything.value
         for pdf in batches:
             terms = []
             for body in pdf["text"]:
-                body = folded(body)
-                terms.append(sorted({body[end - n + 2:end + 1] for end, (n, _) in automaton.iter(body)})
-                             if len(automaton) else [])
+                own = terms_of(set(folded(body).split()))
+                terms.append(sorted(own & sought))
             yield pd.DataFrame({"terms": terms})
 
     docs: dict[str, set] = {}
@@ -199,7 +234,10 @@ def learn(labelled: DataFrame, exceptions: list[str] = (), text: str = "text",
     for i, row in enumerate(holders.toLocalIterator()):
         for term in row["terms"]:
             docs.setdefault(term, set()).add(i)
-    lexicon = Lexicon(_cover(counts, docs), list(exceptions))
+    # terms with much evidence of their own are in as well, since other texts may hold them alone
+    sure = counts[(counts["n_toxic"] >= max(LEAST_DOCS, SUPPORT * n_toxic)) & (counts["n_toxic"] >= PRECISE * (counts["n_toxic"] + counts["n_clean"]))]
+    weights = _longest(sure) | _cover(counts, docs)
+    lexicon = Lexicon(weights, list(exceptions))
     return _calibrated(rows, lexicon, n_toxic, n_clean)
 
 
@@ -240,7 +278,7 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Rows whose crc32(doc_id as text) modulo 3 is 1 are held out.
     """
     chosen = (labels.where(F.col("toxic").isNotNull() & (fold_of(3) != 1))
-              .select(F.col("doc_id").cast("bigint").alias("doc_id"), "toxic").dropDuplicates(["doc_id"])
+              .groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS))
     return texts(docs).join(F.broadcast(chosen), "doc_id").select("text", "toxic")
 
