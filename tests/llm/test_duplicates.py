@@ -206,6 +206,72 @@ def test_edited_passages_are_found(spark, n, edits):
     assert all(r["identity"] >= 0.8 and r["n_words"] >= 50 for r in rows)
 
 
+def phrased(rng, vocabulary, phrases, n):
+    """Words of which many stand in phrases that other texts have as well."""
+    out = []
+    while len(out) < n:
+        common = phrases[min(int(rng.paretovariate(0.8)) - 1, len(phrases) - 1)]
+        out += common if rng.random() < 0.4 else [rng.choice(vocabulary)]
+    return out[:n]
+
+
+@pytest.mark.parametrize("n", [200, 1600])
+def test_passages_are_found_among_common_phrases(spark, n):
+    """Whatever the size of the table, though most documents share seeds with many others."""
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(2000)]
+    phrases = [[rng.choice(vocabulary) for _ in range(rng.randrange(3, 7))] for _ in range(1500)]
+    texts, planted = [phrased(rng, vocabulary, phrases, 150) for _ in range(n)], {}
+    for i in range(n - 100, n):
+        at, identity = rng.randrange(90), (1.0, 0.8)[i % 2]
+        words = texts[i][at:at + 60]
+        for place in rng.sample(range(60), round(60 * (1 - identity))):
+            words[place] = rng.choice(vocabulary)
+        planted.setdefault(identity, []).append((i, len(texts)))
+        texts.append(phrased(rng, vocabulary, phrases, 40) + words + phrased(rng, vocabulary, phrases, 40))
+    rows = passages.repeated_passages(frame(spark, [" ".join(t) for t in texts])).collect()
+    got = {(r["first_doc_id"], r["doc_id"]) for r in rows}
+    assert sum(p in got for p in planted[1.0]) >= 0.98 * len(planted[1.0])
+    assert sum(p in got for p in planted[0.8]) >= 0.9 * len(planted[0.8])
+
+
+def test_an_exact_passage_among_off_diagonal_seeds():
+    """Phrases before, in and after the passage draw the chain away from it; its stretch is found all the same."""
+    hashes, rng = WordHashes(), random.Random(9)
+    vocabulary = [f"w{i}" for i in range(300)]
+    phrases = [[rng.choice(vocabulary) for _ in range(rng.randrange(4, 7))] for _ in range(12)]
+    for _ in range(60):
+        one, words = (phrased(rng, vocabulary, phrases, n) for n in (90, 60))
+        two = phrased(rng, vocabulary, phrases, 80)
+        found = passages.passages(passages.Seeded(hashes(" ".join(one[:40] + words + one[40:]))),
+                                  passages.Seeded(hashes(" ".join(two[:40] + words + two[40:]))))
+        assert any(s <= 50 and e >= 90 and identity >= 0.8 for s, e, _, _, identity in found)
+
+
+def test_frequent_seeds_are_split_and_lose_nothing(spark, monkeypatch):
+    """A passage in all documents: each meets an earlier one, all are connected, no seed has all its holders."""
+    monkeypatch.setattr(passages, "FREQUENT", 3)
+    rng = random.Random(4)
+    passage = prose(rng, 60)
+    texts = [f"{prose(rng, 30)} {passage} {prose(rng, 30)}" for _ in range(40)]
+    hashes = WordHashes()
+    seeds = [np.unique(shingle_hashes(hashes(t), passages.SEED), return_index=True) for t in texts]
+    rows = passages._split_hot(np.concatenate([s for s, _ in seeds]), np.repeat(np.arange(40), [len(s) for s, _ in seeds]),
+                               np.concatenate([p for _, p in seeds]).astype(np.int32))
+    sizes = rows.groupby("seed").size()
+    hot = set(shingle_hashes(hashes(passage), passages.SEED).view(np.int64).tolist())
+    assert all(sizes[s] == 3 for s in hot) and set(rows["uid"]) == set(range(40))
+    assert all(len(group) == 38 and group["uid"].min() == 0 for seed, group in rows.groupby("seed")
+               if len(group) > 3 and seed not in hot)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # long lists of ids are shuffled
+    try:
+        found = passages.repeated_passages(frame(spark, texts)).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert {r["doc_id"] for r in found} == set(range(1, 40))
+    assert {i for i in range(1, 40) if (i, 0) in {(r["doc_id"], r["first_doc_id"]) for r in found}} == set(range(1, 40))
+
+
 def test_a_stretch_of_a_long_chain_is_found():
     """Two texts with shared runs too far apart to be one passage, and one that is a passage by itself."""
     rng, hashes = random.Random(3), WordHashes()
