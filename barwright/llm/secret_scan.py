@@ -7,12 +7,15 @@ covers, the path of its document and the words beside it. A random forest, train
 findings, votes on each; its trees become nested conditions over the features, so that a scan is one projection of the
 documents: no shuffle, no Python.
 
-`labelled_findings` gives findings to learn from where there are none made by hand: at most
-`TRAIN_DOCS` documents, those with the least hash of their id; a finding is labelled a secret if it has the form of a
-known key, or is assigned to a credential's name and looks random.
+The dictionary is counted over all documents. `labelled_findings` gives findings to learn from where there are none made
+by hand, from about `TRAIN_DOCS` documents, chosen by the hash of their id and text; a finding is labelled a secret if it
+has the form of a known key, or is assigned to a credential's name and looks random.
 
-Nulls: a null text has no candidates; a null path has no directories. Repeated rows and ids are kept. Without
-findings of both labels the score is the label there is, or 0. Very long words are searched whole.
+`redacted` masks secrets where they stand, and where the same value is a candidate elsewhere in the text.
+
+Nulls: a null text has no candidates; a null path has no directories. Repeated rows and ids are kept, and count once in
+training. Without findings of both labels the score is the label there is, or 0. Words of more than `LONG` characters go
+on, after each comma or semicolon, as a new word, so the work is linear in the length of a text.
 """
 
 from __future__ import annotations
@@ -25,8 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TRAIN_DOCS = 20_000
-DICTIONARY_DOCS = 2_000
 DICTIONARY_WORDS = 2_000
+LONG = 500
 TREES, DEPTH = 15, 5
 THRESHOLD = 0.5
 MASK = "[SECRET]"
@@ -44,9 +47,12 @@ _KNOWN_RUN = r"(?<![A-Za-z0-9])(" + _KNOWN[1:-1] + r")(?![A-Za-z0-9])"
 # A credential's name with the sign after it, and the sign alone; the value goes to the closing quote or white space.
 _NAMED = _NAMES + r"[\w\-]{0,40}[\"'`\])]{0,2}"
 _ASSIGNED = _NAMED + r"\s{0,3}[=:]{1,2}>?\s{0,3}"
-_QUOTED, _BARE = r"([\"'`])(.+?)(?:\1|$)", r"([^\s\"'`].*?)[,;\"'`]*$"
-# A word; what stands in quotes behind a credential's name and a sign is one with its white space.
-_WORD = (r"[^\s=:\"'`]{0,80}?" + _ASSIGNED + r"(?:\"[^\"\n]*\s[^\"\n]*\"|'[^'\n]*\s[^'\n]*'|`[^`\n]*\s[^`\n]*`)\S*|\S+")
+# A word; what stands in quotes behind a credential's name and a sign is one with its white space. Words are told from the
+# white space before them, and the two give the text back.
+_IN_QUOTES = "|".join(f"{q}[^{q}\\s]*+[^{q}\\S\\n][^{q}\\n]*+{q}" for q in "\"'`")
+_LONG_WORD = rf"\S{{1,{LONG}}}+(?!\S)|\S{{1,{LONG}}}[,;]|[^\s,;]*+[,;]|[^\s,;]++"
+_WORD = rf"(\s*+)([^\s=:\"'`]{{0,80}}?{_ASSIGNED}(?:{_IN_QUOTES})[^\s\w]{{0,80}}|{_LONG_WORD})"
+_SPACE = " \t\n\x0b\f\r"
 _EDGES = r"(?<=[a-z])(?=[^a-z])|(?<=[A-Z])(?=[^A-Z])|(?<=[0-9])(?=[^0-9])|(?<=[^A-Za-z0-9])(?=[A-Za-z0-9])"
 
 FEATURES = ("length", "changes", "distinct", "digits", "upper", "hexadecimal", "marks", "covered", "path_depth", "configuration",
@@ -61,19 +67,26 @@ def _flag(condition: Column) -> Column:
     return F.coalesce(condition.cast("double"), F.lit(0.0))
 
 
-def candidates(text: Column, path: Column, dictionary: list[str]) -> Column:
-    """The candidates of a text: value, word before, and features; in the order of the text."""
-    known = F.array(*[F.lit(w) for w in dictionary]) if dictionary else F.array(F.lit(""))
+def _parts(text: Column, group: int) -> Column:
+    """The words of a text (2), or the white space before each of them (1)."""
+    return F.regexp_extract_all(F.rtrim(F.coalesce(text, F.lit("")), F.lit(_SPACE)), F.lit(_WORD), F.lit(group))
+
 
-    def described(words, i, value):
+def candidates(text: Column, path: Column, dictionary: list[str], by_word: bool = False) -> Column:
+    """The candidates of a text: value, word before, place in its word (from 1; 0 for a run that may stand there more than
+    once) and features; in the order of the text. Or an array for each word, null where none are looked for."""
+
+    def described(words, i, candidate):
+        value, start = candidate["value"], candidate["start"]
         word, one, two = words[i], F.get(words, i - 1), F.get(words, i - 2)
-        lead = F.call_function("substring_index", word, value, F.lit(1))
+        lead = F.when(start > 0, F.substring(word, F.lit(1), start - 1)).otherwise(
+            F.call_function("substring_index", word, value, F.lit(1)))
         pieces = F.filter(F.split(F.lower(value), "[^a-z]+"), lambda p: F.length(p) >= 3)
-        covered = F.aggregate(F.filter(pieces, lambda p: F.array_contains(known, p)), F.lit(0),
+        covered = F.aggregate(F.filter(pieces, lambda p: p.isin(dictionary)), F.lit(0),
                               lambda total, p: total + F.length(p))
         sign = F.coalesce(one, F.lit("")).rlike("^[=:]+$|[=:]$")
         return F.struct(
-            value.alias("value"), F.coalesce(one, F.lit("")).alias("before"),
+            value.alias("value"), F.coalesce(one, F.lit("")).alias("before"), start.alias("start"),
             F.length(value).cast("double").alias("length"),
             ((F.size(F.split(value, _EDGES)) - 1) / F.length(value)).alias("changes"),
             (F.size(F.array_distinct(F.split(value, ""))) / F.length(value)).alias("distinct"),
@@ -88,58 +101,73 @@ def candidates(text: Column, path: Column, dictionary: list[str]) -> Column:
             _flag(value.rlike(_STAND_INS)).alias("stand_in"),
             _share(value, r"^A-Za-z0-9_+/.@=\-").alias("others"))
 
+    def at(value, start):
+        return F.struct(value.alias("value"), start.cast("int").alias("start"))
+
     def assigned_in(words, i):
-        """What the word gives to a credential's name, in it or before it; empty if it does not."""
+        """What the word gives to a credential's name, in it or before it, if it does; an array of one or none."""
         word, one, two = words[i], F.coalesce(F.get(words, i - 1), F.lit("")), F.coalesce(F.get(words, i - 2), F.lit(""))
         follows = one.rlike(_NAMED + "[=:]{1,2}>?$") | one.rlike("^[=:]{1,2}>?$") & two.rlike(_NAMED + "$")
+        lead = F.when(word.rlike(_ASSIGNED + r"\S"), F.regexp_extract(word, "(?s)^.*?" + _ASSIGNED + r"(?=\S)", 0)).when(follows, F.lit(""))
 
-        def value(start):
-            quoted = F.regexp_extract(word, start + _QUOTED, 2)
-            return F.when(quoted != "", quoted).otherwise(F.regexp_extract(word, start + _BARE, 1))
+        def given(lead):
+            rest = F.substring(word, F.length(lead) + 1, F.length(word))
+            mark = F.substring(rest, 1, 1)
+            quoted = mark.isin("\"", "'", "`")
+            inside = F.call_function("substring_index", F.substring(rest, F.lit(2), F.length(rest)), mark, F.lit(1))
+            return at(F.when(quoted, inside).otherwise(F.rtrim(rest, F.lit(",;\"'`"))), F.length(lead) + 1 + quoted.cast("int"))
 
-        return F.when(word.rlike(_ASSIGNED + r"\S"), value(_ASSIGNED)).when(follows, value("^")).otherwise(F.lit(""))
+        return F.transform(F.filter(F.array(lead), lambda l: l.isNotNull()), given)
 
     def values_of(words, i):
-        runs = F.filter(F.regexp_extract_all(words[i], F.lit(_RUN), F.lit(1)), lambda v: v.rlike("[0-9]"))
         # a run once for each time it stands there, the others only if they are no such run
-        more = F.array_distinct(F.concat(F.regexp_extract_all(words[i], F.lit(_KNOWN_RUN), F.lit(1)), F.array(assigned_in(words, i))))
-        return F.concat(runs, F.filter(more, lambda v: (v != "") & ~F.array_contains(runs, v)))
+        runs = F.filter(F.regexp_extract_all(words[i], F.lit(_RUN), F.lit(1)), lambda v: v.rlike("[0-9]"))
+        known = F.array_except(F.regexp_extract_all(words[i], F.lit(_KNOWN_RUN), F.lit(1)), runs)
+        plain = F.concat(runs, known)
+        given = F.filter(assigned_in(words, i), lambda c: (c["value"] != "") & ~F.array_contains(plain, c["value"]))
+        return F.concat(F.transform(plain, lambda v: at(v, F.lit(0))), given)
 
     def of_words(words):
         # words without any of these have no values; it saves the work of looking
-        places = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: (
-            (F.length(words[i]) >= 8) & words[i].rlike("[0-9]") | F.coalesce(F.get(words, i - 1), F.lit("")).rlike("[=:]>?$")
-            | words[i].rlike("[=:]") & words[i].rlike(_ASSIGNED) | (F.length(words[i]) >= 14) & words[i].rlike(_KNOWN_RUN)))
-        return F.flatten(F.transform(places,
-                                     lambda i: F.transform(values_of(words, i), lambda value: described(words, i, value))))
+        def may_hold(i):
+            return ((F.length(words[i]) >= 8) & words[i].rlike("[0-9]") | F.coalesce(F.get(words, i - 1), F.lit("")).rlike("[=:]>?$")
+                    | words[i].rlike("[=:]") & words[i].rlike(_ASSIGNED) | (F.length(words[i]) >= 14) & words[i].rlike(_KNOWN_RUN))
+
+        def of_word(i):
+            return F.transform(values_of(words, i), lambda c: described(words, i, c))
+
+        places = F.sequence(F.lit(0), F.size(words) - 1)
+        if by_word:
+            return F.transform(places, lambda i: F.when(may_hold(i), of_word(i)))
+        return F.flatten(F.transform(F.filter(places, may_hold), of_word))
 
     # the words are bound once, as the variable of a function, however often they are used; a text without any has an empty one
-    split = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(_WORD), F.lit(0))
+    split = _parts(text, 2)
     split = F.when(F.size(split) > 0, split).otherwise(F.array(F.lit("")))
-    return F.flatten(F.transform(F.array(split), of_words))
+    return F.transform(F.array(split), of_words)[0]
 
 
-def dictionary_of(docs: DataFrame, id: str = "doc_id", text: str = "text") -> list[str]:
-    """The most frequent words of three letters and more in DICTIONARY_DOCS documents; one small job."""
-    some = _some(docs, DICTIONARY_DOCS, id, text, None)
-    words = some.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("word"))
+def dictionary_of(docs: DataFrame, text: str = "text") -> list[str]:
+    """The words of three letters and more that most documents hold, DICTIONARY_WORDS of them; one job over all documents."""
+    words = docs.select(F.explode(F.array_distinct(F.split(F.lower(F.col(text)), r"[^\p{L}]+"))).alias("word"))
     top = (words.where(F.length("word") >= 3).groupBy("word").count()
            .orderBy(F.desc("count"), "word").limit(DICTIONARY_WORDS))
     return [row["word"] for row in top.collect()]
 
 
 def _some(docs: DataFrame, n: int, id: str, text: str, path: str | None) -> DataFrame:
-    """A bounded number of documents, those with the least hash of their id."""
-    hashed = F.xxhash64(F.col(id).cast("string"))
-    least = docs.select(hashed.alias("h")).orderBy("h").limit(n).agg(F.max("h")).head()[0]
-    rows = docs.where(hashed <= least) if least is not None else docs.limit(0)
-    return rows.select(F.coalesce(F.col(text), F.lit("")).alias("text"),
-                       (F.col(path).cast("string") if path else F.lit(None).cast("string")).alias("path")).limit(n)
+    """About `n` different documents by the hash of id and text (all of them if there are no more), dealt by that hash."""
+    total = docs.count()
+    rows = docs.select(F.xxhash64(F.col(id).cast("string"), F.col(text)).alias("h"), F.coalesce(F.col(text), F.lit("")).alias("text"),
+                       (F.col(path).cast("string") if path else F.lit(None).cast("string")).alias("path"))
+    if total > n:
+        rows = rows.where(F.col("h") < -(1 << 63) + (n << 64) // total)
+    return rows.groupBy("h").agg(F.min("text").alias("text"), F.min("path").alias("path"))
 
 
 def labelled_findings(docs: DataFrame, dictionary: list[str], id: str = "doc_id", text: str = "text",
                       path: str | None = None) -> DataFrame:
-    """Candidates of at most TRAIN_DOCS documents with a label, 1 for a secret."""
+    """Candidates of about TRAIN_DOCS documents with a label, 1 for a secret."""
     some = _some(docs, TRAIN_DOCS, id, text, path)
     found = some.select(F.explode(candidates(F.col("text"), F.col("path"), dictionary)).alias("c")).select("c.*")
     random = ((F.col("length") >= 12) & (F.col("digits") > 0) & (F.col("digits") < 1) & (F.col("distinct") > 0.2)
@@ -205,32 +233,64 @@ def train(findings: DataFrame, dictionary: list[str], seed: int = 7) -> Forest:
 
 
 def learn(docs: DataFrame, id: str = "doc_id", text: str = "text", path: str | None = None) -> Forest:
-    dictionary = dictionary_of(docs, id, text)
+    dictionary = dictionary_of(docs, text)
     return train(labelled_findings(docs, dictionary, id, text, path), dictionary)
 
 
-def _scored(text: Column, path: Column, forest: Forest) -> Column:
-    return F.transform(candidates(text, path, forest.dictionary),
-                       lambda c: F.struct(c["value"].alias("value"), c["before"].alias("before"),
-                                          forest.votes(c).alias("score")))
+def _scored(found: Column, forest: Forest) -> Column:
+    return F.transform(found, lambda c: F.struct(c["value"].alias("value"), c["before"].alias("before"),
+                                                 c["start"].alias("start"), forest.votes(c).alias("score")))
 
 
 def findings(docs: DataFrame, forest: Forest, id: str = "doc_id", text: str = "text",
              path: str | None = None) -> DataFrame:
     """doc_id, nth, value, before, score and is_secret of every candidate of every text."""
     where = F.col(path).cast("string") if path else F.lit(None).cast("string")
-    rows = docs.select(F.col(id).cast("bigint").alias("doc_id"),
-                       F.posexplode(_scored(F.col(text), where, forest)).alias("nth", "c"))
+    found = candidates(F.col(text), where, forest.dictionary)
+    rows = docs.select(F.col(id).cast("bigint").alias("doc_id"), F.posexplode(_scored(found, forest)).alias("nth", "c"))
     return rows.select("doc_id", "nth", "c.value", "c.before", "c.score", (F.col("c.score") >= THRESHOLD).alias("is_secret"))
 
 
+def _masked_word(word: Column, secrets: Column) -> Column:
+    """A word without its secrets: first the one at a place of its own, then runs, the longest first."""
+    placed = F.filter(secrets, lambda c: c["start"] > 0)
+    runs = F.array_distinct(F.transform(F.filter(secrets, lambda c: c["start"] == 0),
+                                        lambda c: F.struct((-F.length(c["value"])).alias("n"), c["value"].alias("v"))))
+
+    def without(body, c):
+        return F.concat(F.substring(body, F.lit(1), c["start"] - 1), F.lit(MASK),
+                        F.substring(body, c["start"] + F.length(c["value"]), F.length(body)))
+
+    def without_run(body, run):
+        # it begins and ends as a whole; what ends in = may be followed by anything
+        end = F.when(run["v"].endswith("="), F.lit("")).otherwise(F.lit("(?![A-Za-z0-9])"))
+        return F.regexp_replace(body, F.concat(F.lit(r"(?<![A-Za-z0-9])\Q"), run["v"], F.lit(r"\E"), end), F.lit(MASK))
+
+    return F.aggregate(F.array_sort(runs), F.aggregate(placed, word, without), without_run)
+
+
 def redacted(docs: DataFrame, forest: Forest, text: str = "text", path: str | None = None,
              secrets: str = "n_secrets") -> DataFrame:
-    """All columns of `docs` with secrets masked in the text, and how many there were."""
+    """All columns of `docs` with secrets masked in the text, and how many different ones there were."""
     where = F.col(path).cast("string") if path else F.lit(None).cast("string")
-    found = F.array_distinct(F.transform(
-        F.filter(_scored(F.col(text), where, forest), lambda c: c["score"] >= THRESHOLD), lambda c: c["value"]))
-    # longest first: one may be part of another
-    rows = docs.withColumn("_found", F.reverse(F.array_sort(F.transform(found, lambda v: F.struct(F.length(v).alias("n"), v.alias("v")))))["v"])
-    masked = F.aggregate(F.col("_found"), F.col(text), lambda body, value: F.replace(body, value, F.lit(MASK)))
-    return rows.withColumn(secrets, F.size("_found")).withColumn(text, masked).drop("_found")
+    taken = {c.lower() for c in docs.columns}
+    name = next(n for n in (f"_found{i}" for i in range(len(taken) + 1)) if n not in taken)
+
+    def secret_ones(found):
+        some = F.filter(found, lambda cs: F.size(cs) > 0)
+        values = F.array_distinct(F.transform(F.filter(F.flatten(some), lambda c: c["score"] >= THRESHOLD), lambda c: c["value"]))
+        return F.transform(F.array(values), lambda v: F.struct(F.size(v).alias("n"), F.transform(
+            found, lambda cs: F.filter(cs, lambda c: F.array_contains(v, c["value"]))).alias("by_word")))[0]
+
+    def masked(words, gaps, found):
+        return F.array_join(F.transform(words, lambda word, i: F.concat(
+            gaps[i], F.when(F.size(found[i]) > 0, _masked_word(word, found[i])).otherwise(word))), "")
+
+    scored = F.transform(candidates(F.col(text), where, forest.dictionary, by_word=True), lambda cs: _scored(cs, forest))
+    rows = docs.withColumn(name, F.transform(F.array(scored), secret_ones)[0])
+    body, found = F.col(text), F.col(name)["by_word"]
+    tail = F.substring(body, F.length(F.rtrim(body, F.lit(_SPACE))) + 1, F.length(body))
+    whole = F.transform(F.array(F.struct(_parts(body, 2).alias("words"), _parts(body, 1).alias("gaps"))),
+                        lambda p: F.concat(masked(p["words"], p["gaps"], found), tail))[0]
+    return (rows.withColumn(text, F.when(F.col(name)["n"] > 0, whole).otherwise(body))
+            .withColumn(secrets, F.col(name)["n"]).drop(name))

@@ -241,6 +241,57 @@ def test_masking(spark, found):
     assert rows[0]["value"] == "x" and rows[0]["n_secrets"] == 1 and rows[4]["n_secrets"] == 0
 
 
+def test_masks_stand_where_secrets_do(spark):
+    every = secret_scan.Forest([1.0], [])
+    texts = ["password=a and an  apple a day\n", 'db_token="p w" p w', "  x password=abcd1234,abcd12345;abcd1234== \t",
+             "\U0001f600pwd=\U0001f600q1 q1", "secret='it' it", f"a/{KEY} {KEY}\n\n{KEY}", "plain words\u00a0only \n", " ", "token=\"\""]
+    df = spark.createDataFrame([(i, t, 1, 2) for i, t in enumerate(texts)], "doc_id bigint, text string, _found0 int, _FOUND1 int")
+    rows = {r["doc_id"]: r for r in secret_scan.redacted(df, every).collect()}
+    assert [rows[i]["text"] for i in range(len(texts))] == [
+        "password=[SECRET] and an  apple a day\n", 'db_token="[SECRET]" p w', "  x password=[SECRET] \t",
+        "\U0001f600pwd=[SECRET] q1", "secret='[SECRET]' it", "[SECRET] [SECRET]\n\n[SECRET]", "plain words\u00a0only \n", " ", "token=\"\""]
+    assert rows[0]["_found0"] == 1 and rows[0]["_FOUND1"] == 2 and rows[0]["n_secrets"] == 1
+
+
+def test_words_and_gaps_give_the_text_back(spark):
+    import random
+
+    rng = random.Random(3)
+    some = ["a", "9", "=", ":", "password", "token", '"', "'", "`", " ", "\n", "\t", ",", ";", "\u00a0", "\u00e9", "\U0001f600", "x" * 300]
+    texts = ["".join(rng.choice(some) for _ in range(rng.randrange(40))) for _ in range(1500)] + ["", None]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    rows = df.select("text", secret_scan._parts(F.col("text"), 1).alias("gaps"), secret_scan._parts(F.col("text"), 2).alias("words")).collect()
+    for text, gaps, words in rows:
+        again = "".join(g + w for g, w in zip(gaps, words, strict=True))
+        assert again == (text or "").rstrip(" \t\n\x0b\f\r") and all(words)
+
+
+def test_long_texts_take_linear_time(spark):
+    import time
+
+    rng = __import__("random").Random(6)
+    runs = ",".join(f"{rng.randrange(10**9):09}ab" for _ in range(80_000))
+    texts = ["password=" + "," * 1_000_000 + "x", 'password="' + "a " * 500_000, "x" + " " * 1_000_000 + "y", runs,
+             "a1" * 500_000, "xoxb-" * 200_000, "password" * 125_000, '{"token":"Qw3rtyuiop12","n":' * 30_000]
+    forest = secret_scan.Forest([0.0], ["word"])
+    for text in texts:
+        df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+        began = time.time()
+        secret_scan.redacted(df, forest).selectExpr("length(text)", "n_secrets").collect()
+        assert time.time() - began < 20, text[:40]
+
+
+def test_the_dictionary_counts_all_documents(spark):
+    docs = spark.range(5000).selectExpr("id as doc_id", "if(id % 2 = 0, 'Alpha beta alpha', 'beta 12 of') as text")
+    assert secret_scan.dictionary_of(docs.unionByName(docs.selectExpr("doc_id", "null as text"))) == ["beta", "alpha"]
+
+
+def test_a_bounded_sample_to_learn_from(spark):
+    docs = spark.range(20_000).selectExpr("id as doc_id", "concat('t', id) as text")
+    counts = [secret_scan._some(rows, 1000, "doc_id", "text", None).count() for rows in (docs, docs.limit(900), docs.union(docs))]
+    assert 850 < counts[0] < 1150 and counts[1] == 900 and 400 < counts[2] < 600
+
+
 def test_nothing_to_learn_from(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string")
     forest = secret_scan.learn(empty)
