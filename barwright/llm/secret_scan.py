@@ -9,7 +9,9 @@ documents: no shuffle, no Python.
 
 The dictionary is counted over all documents. `labelled_findings` gives findings to learn from where there are none made
 by hand, from about `TRAIN_DOCS` documents, chosen by the hash of their id and text; a finding is labelled a secret if it
-has the form of a known key, or is assigned to a credential's name and looks random.
+has the form of a known key, or is assigned to a credential's name and looks random. `planted_findings` adds `PLANTED` findings of each of
+some forms of secrets and of what looks like them, set among words of the dictionary; their labels are known, not derived
+from the features. So forms that a corpus happens not to hold are learned as well.
 
 `redacted` masks secrets where they stand, and where the same value is a candidate elsewhere in the text.
 
@@ -30,6 +32,7 @@ from pyspark.sql import functions as F
 TRAIN_DOCS = 20_000
 DICTIONARY_WORDS = 2_000
 LONG = 500
+PLANTED = 200
 TREES, DEPTH = 15, 5
 THRESHOLD = 0.5
 MASK = "[SECRET]"
@@ -179,6 +182,55 @@ def labelled_findings(docs: DataFrame, dictionary: list[str], id: str = "doc_id"
     return found.withColumn("label", (F.col("value").rlike(_KNOWN) | named & (random | mixed)).cast("double"))
 
 
+_UPPER, _LOWER, _DIGITS, _HEX = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789", "0123456789abcdef"
+_ALNUM = _UPPER + _LOWER + _DIGITS
+_NAMED_BY = ("password=", 'token = "', "api_key: ", "secret = '", 'auth_token="', "db_password: ")
+_NOT_NAMED = ("", "commit ", "id=", "see ", "sha256: ")
+# What may stand before a value, and the value, as texts and (alphabet, least length, greatest length).
+SECRET_FORMS = (
+    (("",) + _NAMED_BY, ("AKIA", (_UPPER + "234567", 16, 16))), (("",) + _NAMED_BY, ("ghp_", (_ALNUM, 36, 40))),
+    (("",) + _NAMED_BY, ("xoxb-", (_DIGITS, 11, 12), "-", (_ALNUM, 24, 24))), (("",) + _NAMED_BY, ("AIza", (_ALNUM + "_-", 35, 35))),
+    (_NAMED_BY, ((_HEX, 16, 64),)), (_NAMED_BY, ((_ALNUM, 10, 40),)), (_NAMED_BY, ((_ALNUM + "+/", 30, 60), "=")),
+    (_NAMED_BY, ((_ALNUM, 4, 8), ("!#$%&*^", 1, 3), (_ALNUM, 3, 8))))
+OTHER_FORMS = (
+    (_NOT_NAMED, ((_HEX, 32, 64),)), (_NOT_NAMED, ((_HEX, 8, 8), "-", (_HEX, 4, 4), "-", (_HEX, 4, 4), "-", (_HEX, 12, 12))),
+    (_NOT_NAMED, ((_DIGITS, 8, 16),)), (_NOT_NAMED, ("+", (_DIGITS, 2, 2), "-", (_DIGITS, 7, 9))),
+    (_NOT_NAMED, ("https://", (_LOWER, 5, 10), ".org/", (_LOWER, 4, 9), "/", (_DIGITS, 4, 8))),
+    (_NOT_NAMED, ((_LOWER, 4, 9), (_DIGITS, 1, 3), "@mail.", (_LOWER, 4, 8), ".com")),
+    (_NOT_NAMED, ((_LOWER, 4, 8), "_", (_LOWER, 3, 8), "_", (_DIGITS, 2, 6))), (_NOT_NAMED, ((_DIGITS, 1, 3), ".", (_DIGITS, 2, 3), ".", (_DIGITS, 1, 2), "-rc", (_DIGITS, 1, 1))),
+    (_NAMED_BY, ("changeme", (_DIGITS, 1, 6))), (_NAMED_BY, ("your_", (_LOWER, 4, 8), (_DIGITS, 1, 3))), (_NAMED_BY, ((_LOWER, 4, 12),)))
+
+
+def planted_findings(spark, dictionary: list[str]) -> DataFrame:
+    """Candidates of texts made of words of the dictionary and one value each, with the label of its form; none without a dictionary."""
+    forms = [(form, 1.0) for form in SECRET_FORMS] + [(form, 0.0) for form in OTHER_FORMS]
+    words = F.array(*[F.lit(w) for w in dictionary or [""]])
+    form_of, drawn = F.col("id") % len(forms), lambda *of: F.abs(F.xxhash64("id", *of))
+
+    def one_of(array, n, salt):
+        return F.element_at(array, (drawn(F.lit(salt)) % n + 1).cast("int"))
+
+    def signs(alphabet, least, most, salt):
+        places = F.sequence(F.lit(1), (drawn(F.lit(salt)) % (most - least + 1) + least).cast("int"))
+        return F.array_join(F.transform(places, lambda j: F.substring(
+            F.lit(alphabet), (drawn(F.lit(salt), j) % len(alphabet) + 1).cast("int"), F.lit(1))), "")
+
+    value = lead = label = None
+    for n, ((leads, parts), kind) in enumerate(forms):
+        made = F.concat(*[F.lit(p) if isinstance(p, str) else signs(*p, 100 * n + i) for i, p in enumerate(parts)])
+        before, here = one_of(F.array(*[F.lit(x) for x in leads]), len(leads), -1), form_of == n
+        value, lead, label = ((F.when(here, x) if old is None else old.when(here, x))
+                              for old, x in ((value, made), (lead, before), (label, F.lit(kind))))
+    rows = (spark.range(PLANTED * len(forms) if dictionary else 0)
+            .select("id", value.alias("planted"), lead.alias("lead"), label.alias("kind")))
+    close = F.when(F.substring("lead", -1, 1).isin("\"", "'"), F.substring("lead", -1, 1)).otherwise("")
+    around = [one_of(words, len(dictionary), -salt) for salt in range(2, 8)] if dictionary else [F.lit("")] * 6
+    text = F.concat_ws(" ", *around[:3], F.concat("lead", "planted", close), *around[3:])
+    found = rows.select("planted", "kind", F.explode(candidates(text, F.lit(None).cast("string"), dictionary)).alias("c"))
+    label = F.when(F.col("value") == F.col("planted"), F.col("kind")).otherwise(0.0)
+    return found.select("planted", "kind", "c.*").withColumn("label", label).drop("planted", "kind")
+
+
 class Forest:
     """Trees as conditions over features, and the dictionary that goes with them."""
 
@@ -234,7 +286,8 @@ def train(findings: DataFrame, dictionary: list[str], seed: int = 7) -> Forest:
 
 def learn(docs: DataFrame, id: str = "doc_id", text: str = "text", path: str | None = None) -> Forest:
     dictionary = dictionary_of(docs, text)
-    return train(labelled_findings(docs, dictionary, id, text, path), dictionary)
+    known = labelled_findings(docs, dictionary, id, text, path).unionByName(planted_findings(docs.sparkSession, dictionary))
+    return train(known, dictionary)
 
 
 def _scored(found: Column, forest: Forest) -> Column:

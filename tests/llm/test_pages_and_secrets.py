@@ -292,6 +292,22 @@ def test_a_bounded_sample_to_learn_from(spark):
     assert 850 < counts[0] < 1150 and counts[1] == 900 and 400 < counts[2] < 600
 
 
+def test_forms_the_table_lacks_are_learned(spark, found):
+    import random
+
+    rng = random.Random(12)
+    draw = lambda of, n: "".join(rng.choice(of) for _ in range(n))
+    alnum = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    secret = [lambda: ("", "ghp_" + draw(alnum, 36)), lambda: ("", "AIza" + draw(alnum, 35)), lambda: ("api_key: ", draw(alnum, 43) + "="),
+              lambda: ("password=", draw(alnum, 6) + draw("!#$%&", 2) + draw(alnum, 6)), lambda: ("token = ", draw("0123456789abcdef", 40))]
+    other = [lambda: ("commit ", draw("0123456789abcdef", 40)), lambda: ("password: ", draw("abcdefghijklmnop", 8)),
+             lambda: ("id=", draw("0123456789", 12)), lambda: ("password=", "changeme" + draw("0123456789", 4))]
+    drawn = [f() for f in secret for _ in range(40)] + [f() for f in other for _ in range(40)]
+    rows, _ = scan(spark, found[0], [f"some {lead}{value} words" for lead, value in drawn])
+    flagged = {r["doc_id"] for r in rows if r["is_secret"] and r["value"] == drawn[r["doc_id"]][1]}
+    assert len([i for i in flagged if i < 200]) >= 180 and len([i for i in flagged if i >= 200]) <= 8
+
+
 def test_nothing_to_learn_from(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string")
     forest = secret_scan.learn(empty)
