@@ -81,7 +81,7 @@ def ordered_alerts(stream: DataFrame, threshold: float, *, price="price", id="ev
             .where("ts is not null").withWatermark("ts", delay))
     found = rows.groupBy("symbol").applyInPandasWithState(
         _in_order(threshold), "symbol string, ts timestamp, id bigint, price double, previous double, change double",
-        "at array<bigint>, id array<bigint>, price array<double>, last double", "append", "EventTimeTimeout")
+        "waiting binary, last double", "append", "EventTimeTimeout")
     return found.select(F.col("symbol").alias(by), F.col("ts").alias(ts), F.col("id").alias(id), F.col("price").alias(price), "previous", "change")
 
 
@@ -89,28 +89,34 @@ def _in_order(threshold: float):
     import numpy as np
     import pandas as pd
 
+    # The ticks that wait are one binary value: an array of numbers is taken apart number by number on its way to Python and back.
+    tick = np.dtype([("at", np.int64), ("id", np.int64), ("price", np.float64)])
+
     def alerts(key, batches, state):
-        held, ids, prices, last = state.get if state.exists else ([], [], [], None)
-        held, ids, prices = (np.array(x, t) for x, t in ((held, np.int64), (ids, np.int64), (prices, float)))
+        waiting, last = state.get if state.exists else (b"", None)
+        parts = [np.frombuffer(waiting, tick)]
         for pdf in batches:
-            held = np.r_[held, pdf["ts"].astype("datetime64[us]").astype("int64").to_numpy()]
-            ids = np.r_[ids, pdf["id"].fillna(-(2**63)).to_numpy(np.int64)]
-            prices = np.r_[prices, pdf["price"].to_numpy(float)]
-        order = np.lexsort([ids, held])
-        held, ids, prices = held[order], ids[order], prices[order]
+            part = np.empty(len(pdf), tick)
+            part["at"] = pdf["ts"].astype("datetime64[us]").astype("int64")
+            part["id"] = pdf["id"].fillna(-(2**63))
+            part["price"] = pdf["price"]
+            parts.append(part)
+        ticks = np.concatenate(parts)
+        ticks = ticks[np.lexsort([ticks["id"], ticks["at"]])]
         mark = state.getCurrentWatermarkMs() * 1000
-        ready = int(np.searchsorted(held, mark, side="right")) if mark > 0 else 0
+        ready = int(np.searchsorted(ticks["at"], mark, side="right")) if mark > 0 else 0
         if ready:
-            before = np.r_[np.nan if last is None else last, prices[:ready - 1]]
+            done, prices = ticks[:ready], ticks["price"][:ready]
+            before = np.r_[np.nan if last is None else last, prices[:-1]]
             with np.errstate(all="ignore"):
-                change = np.where(before == 0, np.nan, prices[:ready] / before - 1)
+                change = np.where(before == 0, np.nan, prices / before - 1)
             hit = np.abs(change) >= threshold
-            yield pd.DataFrame({"symbol": key[0], "ts": pd.to_datetime(held[:ready][hit], unit="us"), "id": ids[:ready][hit],
-                                "price": prices[:ready][hit], "previous": before[hit], "change": change[hit]})
-            last = None if np.isnan(prices[ready - 1]) else float(prices[ready - 1])
-        state.update((held[ready:].tolist(), ids[ready:].tolist(), prices[ready:].tolist(), last))
-        if ready < len(held):
+            yield pd.DataFrame({"symbol": key[0], "ts": pd.to_datetime(done["at"][hit], unit="us"), "id": done["id"][hit],
+                                "price": prices[hit], "previous": before[hit], "change": change[hit]})
+            last = None if np.isnan(prices[-1]) else float(prices[-1])
+        state.update((ticks[ready:].tobytes(), last))
+        if ready < len(ticks):
             # wakes once the watermark has passed the earliest tick that waits
-            state.setTimeoutTimestamp(max(int(held[ready]) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+            state.setTimeoutTimestamp(max(int(ticks["at"][ready]) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
 
     return alerts

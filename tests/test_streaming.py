@@ -117,3 +117,35 @@ def test_live_bars_take_in_late_ticks(spark, tmp_path):
     spark.catalog.refreshByPath(out)
     assert spark.read.parquet(out).select("batch").distinct().count() == 2
     assert sorted(map(str, read_live_bars(spark, out).select(columns).collect())) == want
+
+
+def test_waiting_ticks_are_kept_as_one_value():
+    """A series may hold all ticks of a micro-batch, so its state has a few bytes for each and no value of its own."""
+    import pandas as pd
+
+    from barwright.streaming.alerts import _in_order
+
+    class State:
+        exists, get, mark, wakes = False, None, 0, None
+
+        def getCurrentWatermarkMs(self):
+            return self.mark
+
+        def update(self, value):
+            self.exists, self.get = True, value
+
+        def setTimeoutTimestamp(self, at):
+            self.wakes = at
+
+    state, n = State(), 50_000
+    ticks = pd.DataFrame({"ts": pd.to_datetime(range(n), unit="s"), "id": range(n), "price": [1.0, 3.0, 1.0, None, 5.0] * (n // 5)})
+    assert not list(_in_order(0.5)(("A",), iter([ticks[n // 2:], ticks[:n // 2]]), state))
+    assert all(x is None or len(x) == 24 * n for x in state.get)
+    state.mark = 10_000_000
+    (first,) = _in_order(0.5)(("A",), iter([]), state)
+    assert state.wakes == 10_001_001 and len(state.get[0]) == 24 * (n - 10_001)
+    state.mark = n * 1000
+    (rest,) = _in_order(0.5)(("A",), iter([]), state)
+    got = pd.concat([first, rest])
+    assert got["id"].tolist() == [i for i in range(1, n) if i % 5 in (0, 1, 2)]
+    assert (got["change"].round(6) == [{0: -0.8, 1: 2.0, 2: -0.666667}[i % 5] for i in got["id"]]).all()
