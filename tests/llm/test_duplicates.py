@@ -272,6 +272,43 @@ def test_frequent_seeds_are_split_and_lose_nothing(spark, monkeypatch):
     assert {i for i in range(1, 40) if (i, 0) in {(r["doc_id"], r["first_doc_id"]) for r in found}} == set(range(1, 40))
 
 
+def test_all_holders_of_a_seed_that_is_not_frequent_are_met():
+    """Up to FREQUENT holders of a seed all pairs meet; of more, those with the same LEAST_WORDS words from it on meet the first such."""
+    n = passages.FREQUENT
+    seed, uid = np.zeros(n, np.uint64), np.arange(n)[::-1]
+    later, place, first = passages.met(seed, uid, uid.astype(np.int32), np.zeros(n, np.uint32))
+    assert set(zip(later.tolist(), first.tolist())) == {(i, j) for i in range(n) for j in range(i)} and (place == later).all()
+    run = np.zeros(5 * n, np.uint32)
+    run[[40, 77, 130]] = 9
+    later, place, first = passages.met(np.zeros(5 * n, np.uint64), np.arange(5 * n), np.arange(5 * n, dtype=np.int32), run)
+    assert {(a, b) for a, p, b in zip(later.tolist(), place.tolist(), first.tolist()) if p < 0} == {(77, 40), (130, 40)}
+    assert set(first[later == 100].tolist()) == {0, 1, 2, 97, 98, 99}
+
+
+def test_the_very_source_among_holders_of_all_its_seeds_is_met(spark):
+    """Two lines that many texts have, one after the other in two of them alone: neither is among the first or the next holders."""
+    rng = random.Random(21)
+    words = lambda n: [f"v{rng.randrange(50_000)}" for _ in range(n)]
+    lines = [words(34) for _ in "ab"]
+    texts = [words(20) + lines[i % 2] + words(20) for i in range(240)]
+    for i in (101, 150):
+        texts[i] = words(20) + lines[0] + lines[1] + words(20)
+    rows = passages.repeated_passages(frame(spark, [" ".join(t) for t in texts])).collect()
+    assert {(r["first_doc_id"], r["doc_id"]) for r in rows} == {(101, 150)}
+
+
+def test_a_partner_whose_seeds_a_better_one_holds_is_compared(spark):
+    """The better one has them far apart in phrases of its own, the other in one edited passage."""
+    rng = random.Random(22)
+    words = lambda n: [f"v{rng.randrange(50_000)}" for _ in range(n)]
+    passage = words(60)
+    edited = [w + "zz" if i % 9 == 4 else w for i, w in enumerate(passage)]
+    scattered = [w for at in range(50, -1, -10) for w in [*passage[at:at + 10], *words(15)]]
+    texts = [scattered, words(30) + edited + words(30), words(30) + passage + words(30)]
+    rows = passages.repeated_passages(frame(spark, [" ".join(t) for t in texts])).collect()
+    assert {(r["first_doc_id"], r["doc_id"]) for r in rows} == {(1, 2)}
+
+
 def test_a_stretch_of_a_long_chain_is_found():
     """Two texts with shared runs too far apart to be one passage, and one that is a passage by itself."""
     rng, hashes = random.Random(3), WordHashes()
