@@ -303,7 +303,7 @@ def test_a_partner_whose_seeds_a_better_one_holds_is_compared(spark):
     words = lambda n: [f"v{rng.randrange(50_000)}" for _ in range(n)]
     passage = words(60)
     edited = [w + "zz" if i % 9 == 4 else w for i, w in enumerate(passage)]
-    scattered = [w for at in range(50, -1, -10) for w in [*passage[at:at + 10], *words(15)]]
+    scattered = [w for at in range(50, -1, -10) for w in [*passage[at:at + 13], *words(15)]]
     texts = [scattered, words(30) + edited + words(30), words(30) + passage + words(30)]
     rows = passages.repeated_passages(frame(spark, [" ".join(t) for t in texts])).collect()
     assert {(r["first_doc_id"], r["doc_id"]) for r in rows} == {(1, 2)}
