@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from barwright.llm import decontamination, near_duplicates, passages
-from barwright.llm.common import WordHashes, shingle_hashes, table
+from barwright.llm.common import WordHashes, shingle_hashes, table, words_of
 from barwright.llm.components import components
 
 SF = "/root/testdata/sf0.01"
@@ -309,6 +309,46 @@ def test_a_partner_whose_seeds_a_better_one_holds_is_compared(spark):
     assert {(r["first_doc_id"], r["doc_id"]) for r in rows} == {(1, 2)}
 
 
+def test_texts_are_dealt_out_once_wherever_pairs_are_compared(spark, monkeypatch):
+    """The last text has all of a passage from 1 and a line of it from 0: that pair counts only if 1 is no better, in whatever
+    part it is compared. Copies go with the pairs."""
+    rng = random.Random(23)
+    words = lambda n: [f"v{rng.randrange(50_000)}" for _ in range(n)]
+    texts = []
+    for _ in range(12):
+        passage = words(90)
+        texts += [words(30) + passage[:60] + words(30), words(30) + passage + words(30), passage + words(40)]
+    texts = [" ".join(t) for t in [*texts, texts[0], words(60)]]
+    calls, compared = [], passages._all_compared
+    monkeypatch.setattr(passages, "_all_compared", lambda *x: calls.append(1) or compared(*x))
+    found = []
+    for together in (4000, 1):
+        monkeypatch.setattr(passages, "TOGETHER", together)
+        found.append(sorted(map(tuple, passages.repeated_passages(frame(spark, texts)).collect())))
+    assert found[0] == found[1] and len(calls) == 2
+    assert {x[:2] for x in found[0]} == {(36, 0), *((n + 1, n) for n in range(0, 36, 3)), *((n + 2, n + 1) for n in range(0, 36, 3))}
+
+
+def test_words_are_hashed_as_they_are_told_apart(monkeypatch):
+    texts = ["", " ", "a", "A_b c-d", "\u0130x \u00dfSS \u00df", "\u0915\u093f\u0924\u093e\u092c \u0915", "\U0001d54f\U0001f600x 1\u00b2 \u0663", "\0a\0", "ab ba aab",
+             "x" * 300 + " " + "x" * 299 + "y " + "x" * 300, " ".join(WORDS)]
+    met = {}
+    for block in (passages.BLOCK, 5):
+        monkeypatch.setattr(passages, "BLOCK", block)
+        for text in texts:
+            words, found = words_of(text), passages.word_hashes(text).tolist()
+            assert len(words) == len(found)
+            assert all(met.setdefault(w, h) == h for w, h in zip(words, found))
+    assert len(set(met.values())) == len(met)
+
+
+def test_words_of_copies_are_those_of_passages(spark):
+    """Marks part words, in copies as in other texts."""
+    text = " ".join(["\u0915\u093f\u0924\u093e\u092c"] * 30)
+    (row,) = passages.repeated_passages(frame(spark, [text, text])).collect()
+    assert (row["doc_id"], row["first_doc_id"], row["start"], row["end"], row["n_words"]) == (1, 0, 0, 90, 90) and len(words_of(text)) == 90
+
+
 def test_a_stretch_of_a_long_chain_is_found():
     """Two texts with shared runs too far apart to be one passage, and one that is a passage by itself."""
     rng, hashes = random.Random(3), WordHashes()
